@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions.porter import stem
 
@@ -175,34 +176,43 @@ def meteor(
     return best
 
 
-@F.pandas_udf("double")
+def _plain(arrays: pd.Series):
+    """The lists of a batch, one row at a time."""
+
+    def to_list(x):
+        return [to_list(y) for y in x] if isinstance(x, (np.ndarray, list)) else x
+
+    return (to_list(a) for a in arrays)
+
+
+@F.pandas_udf(T.DoubleType())
 def rouge_l_udf(reference: pd.Series, prediction: pd.Series) -> pd.Series:
     return pd.Series(
-        [f1(lcs_length(r, p), len(p), len(r)) for r, p in zip(reference, prediction)], dtype="float64"
+        [f1(lcs_length(r, p), len(p), len(r)) for r, p in zip(_plain(reference), _plain(prediction))], dtype="float64"
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def rouge_lsum_udf(reference: pd.Series, prediction: pd.Series) -> pd.Series:
-    return pd.Series([union_lcs(r, p) for r, p in zip(reference, prediction)], dtype="float64")
+    return pd.Series([union_lcs(r, p) for r, p in zip(_plain(reference), _plain(prediction))], dtype="float64")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def word_edits_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([edit_distance(x, y) for x, y in zip(a, b)], dtype="int32")
+    return pd.Series([edit_distance(x, y) for x, y in zip(_plain(a), _plain(b))], dtype="int32")
 
 
 def meteor_udf(alpha: float = 0.9, beta: float = 3.0, gamma: float = 0.5, synonyms: dict[str, str] | None = None):
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def run(prediction: pd.Series, references: pd.Series) -> pd.Series:
         return pd.Series(
-            [meteor(p, r, alpha, beta, gamma, synonyms) for p, r in zip(prediction, references)], dtype="float64"
+            [meteor(p, r, alpha, beta, gamma, synonyms) for p, r in zip(_plain(prediction), _plain(references))], dtype="float64"
         )
 
     return run
 
 
-@F.arrow_udf("array<string>")
+@F.arrow_udf(T.ArrayType(T.StringType()))
 def stem_words(batch: pa.Array) -> pa.Array:
     """Porter stems of words longer than three letters; distinct words are stemmed once."""
     flat = batch.flatten().dictionary_encode()
@@ -211,7 +221,7 @@ def stem_words(batch: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, stems.take(flat.indices))
 
 
-@F.pandas_udf("precision double, recall double")
+@F.pandas_udf(T.StructType().add("precision", T.DoubleType()).add("recall", T.DoubleType()))
 def greedy_cosine_udf(predicted: pd.Series, reference: pd.Series) -> pd.DataFrame:
     """For each pair of vector lists the mean best cosine, seen from both sides."""
     out = np.zeros((len(predicted), 2))

@@ -98,15 +98,10 @@ def ngrams(tokens: Column, n: int, joiner: str = SEPARATOR) -> Column:
 def ngrams_up_to(tokens: Column, max_n: int, joiner: str = SEPARATOR) -> Column:
     """Runs of 1..max_n tokens as structs ``(n, gram)`` in one array."""
 
-    def all_orders(t: Column) -> Column:
-        return F.concat(
-            *[
-                F.transform(_runs(t, n, joiner), lambda g, n=n: F.struct(F.lit(n).alias("n"), g.alias("gram")))
-                for n in range(1, max_n + 1)
-            ]
-        )
+    def labelled(t: Column, n: int) -> Column:
+        return F.transform(_runs(t, n, joiner), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")))
 
-    return let(tokens, all_orders)
+    return let(tokens, lambda t: F.concat(*[labelled(t, n) for n in range(1, max_n + 1)]))
 
 
 def truncate_text(c: str | Column, size: int, suffix: str = "...") -> Column:

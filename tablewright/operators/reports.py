@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions import text as tx
 from tablewright.operators.scan import RowNumber, Running, scan
@@ -177,7 +178,7 @@ def permutation_test(
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def two_sided_p(z: pd.Series) -> pd.Series:
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)))
 

@@ -11,6 +11,7 @@ from tablewright.functions import alignment as al
 from tablewright.functions import text as tx
 from tablewright.operators import overlap as ov
 from tablewright.operators.sized import lookup
+from tablewright.session import durable
 
 GROUP = ov.GROUP
 KEYS = ov.KEYS
@@ -134,12 +135,16 @@ def _bigrams(tokens: Column) -> Column:
 
 
 def ngram_lm_fit(df: DataFrame, column: str) -> DataFrame:
-    """Bigram counts with the count of their first word: ``(prev, word, n, n_prev)``."""
+    """Bigram counts with the count of their first word: ``(prev, word, n, n_prev)``.
+
+    A model is read several times, so it is stored.
+    """
     counts = (
         df.select(F.inline(_bigrams(tx.words(column)))).groupBy("prev", "word").agg(F.count(F.lit(1)).alias("n"))
     )
+    counts = durable(counts)
     heads = counts.groupBy("prev").agg(F.sum("n").alias("n_prev"))
-    return lookup(counts, heads, ["prev"], "inner")
+    return counts.join(heads, "prev")
 
 
 def vocabulary_size(df: DataFrame, column: str) -> int:
@@ -155,7 +160,7 @@ def ngram_lm_score(
         .groupBy(row_id, "prev", "word")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    seen = lookup(own, model, ["prev", "word"], "left", max_rows=200_000)
+    seen = lookup(own, model, ["prev", "word"])
     heads = lookup(
         seen.filter("n_prev IS NULL").drop("n", "n_prev"),
         model.groupBy("prev").agg(F.sum("n").alias("n_prev")),
