@@ -141,17 +141,19 @@ def bootstrap_ci(
     Every row enters a replicate a Poisson(1) number of times, drawn from a hash, so
     replicates need no exchange of rows: partial sums per replicate are merged.
     """
-    u = _draw(row_id, seed)
-    times = sum((F.when(u >= b, 1).otherwise(0) for b in poisson_bounds()), F.lit(0))
-    drawn = _replicates(df.select(*by, row_id, value), samples).withColumn("_k", times).filter("_k > 0")
+    times = tx.let(
+        _draw(row_id, seed), lambda u: sum((F.when(u >= b, 1).otherwise(0) for b in poisson_bounds()), F.lit(0))
+    )
+    drawn = _replicates(df.select(*by, row_id, value), samples).withColumn("_k", times)
     means = (
         drawn.groupBy(*by, "replicate")
-        .agg((F.sum(F.col("_k") * F.col(value)) / F.sum("_k")).alias("_mean"))
+        .agg(F.sum(F.col("_k") * F.col(value)).alias("_sum"), F.sum("_k").alias("_rows"))
+        .withColumn("_mean", F.when(F.col("_rows") > 0, F.col("_sum") / F.col("_rows")))
     )
     tail = (1 - confidence) / 2
     bounds = means.groupBy(*by).agg(
         F.percentile("_mean", F.array(F.lit(tail), F.lit(1 - tail))).alias("_q"),
-        F.count(F.lit(1)).alias("samples"),
+        F.count("_mean").alias("samples"),
     )
     centre = df.groupBy(*by).agg(F.avg(value).alias("mean"))
     shown = ["mean", F.col("_q")[0].alias("low"), F.col("_q")[1].alias("high"), "samples"]

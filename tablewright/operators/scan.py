@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from tablewright.session import durable
 
+_OWN = "__scan_"  # no caller's column may start like this
+_POS, _CHUNK, _CARRY_CHUNK, _SPANS = (f"{_OWN}{n}" for n in ("pos", "chunk", "carry_chunk", "spans"))
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
@@ -66,26 +68,28 @@ def scan(
 ) -> DataFrame:
     """``df`` plus one column per spec. ``order`` must be unique inside a group."""
     group = list(group)
+    if any(c.startswith(_OWN) for c in df.columns):
+        raise ValueError(f"column names must not start with {_OWN}")
     order_cols = [F.col(c).asc() if isinstance(c, str) else c for c in order]
     layout = [F.col(g).asc() for g in group] + order_cols
     laid = (
         df.repartitionByRange(*layout)
         .sortWithinPartitions(*layout)
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .withColumn("_chunk", F.shiftright("_pos", _LOCAL_BITS))
+        .withColumn(_POS, F.monotonically_increasing_id())
+        .withColumn(_CHUNK, F.shiftright(_POS, _LOCAL_BITS))
     )
     # Range bounds come from a sample: store the layout before reading it twice.
     laid = durable(laid)
 
-    inside = Window.partitionBy(*group, "_chunk").orderBy("_pos")
+    inside = Window.partitionBy(*group, _CHUNK).orderBy(_POS)
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    across = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_chunk")
+    across = Window.partitionBy(*(group or [F.lit(0)])).orderBy(_CHUNK)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
 
     local, per_chunk, carried, final = [], [], [], []
     for i, s in enumerate(specs):
-        loc, agg, car = f"_l{i}", f"_a{i}", f"_c{i}"
+        loc, agg, car = f"{_OWN}local{i}", f"{_OWN}agg{i}", f"{_OWN}carry{i}"
         if isinstance(s, RowNumber):
             local.append(F.row_number().over(inside).cast("long").alias(loc))
             per_chunk.append(F.count(F.lit(1)).alias(agg))
@@ -103,25 +107,25 @@ def scan(
             boxed = F.struct(s.value.alias("v"))
             shift, edge = (F.lag, F.max_by) if s.offset < 0 else (F.lead, F.min_by)
             local.append(shift(boxed).over(inside).alias(loc))
-            per_chunk.append(edge(boxed, "_pos").alias(agg))
+            per_chunk.append(edge(boxed, _POS).alias(agg))
             carried.append(shift(agg).over(across).alias(car))
             final.append(F.coalesce(F.col(loc), F.col(car)).getField("v").alias(s.name))
 
     carry = (
-        laid.groupBy(*group, "_chunk")
+        laid.groupBy(*group, _CHUNK)
         .agg(*per_chunk)
         .select(
-            *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
-            F.col("_chunk").alias("_gc"),
-            F.count(F.lit(1)).over(Window.partitionBy(*(group or [F.lit(0)]))).alias("_spans"),
+            *[F.col(g).alias(f"{_OWN}group{i}") for i, g in enumerate(group)],
+            F.col(_CHUNK).alias(_CARRY_CHUNK),
+            F.count(F.lit(1)).over(Window.partitionBy(*(group or [F.lit(0)]))).alias(_SPANS),
             *carried,
         )
-        .filter("_spans > 1")
-        .drop("_spans")
+        .filter(F.col(_SPANS) > 1)
+        .drop(_SPANS)
     )
-    on = F.col("_chunk") == F.col("_gc")
+    on = F.col(_CHUNK) == F.col(_CARRY_CHUNK)
     for i, g in enumerate(group):
-        on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+        on = on & F.col(g).eqNullSafe(F.col(f"{_OWN}group{i}"))
     return (
         laid.select("*", *local)
         .join(F.broadcast(carry), on, "left")

@@ -227,6 +227,8 @@ def custom_metric(name: str, fn: Callable[[DataFrame], DataFrame], higher_is_bet
 def calculate_all(df: DataFrame, metrics: Sequence[str] = ("rouge", "bleu", "meteor", "distinct", "chrf", "exact_match"),
                   custom: Sequence[str] = ()) -> DataFrame:
     """All asked metrics in long form: ``(dataset, model, metric, value)``."""
+    # every metric reads the predictions again, so they are stored once
+    df = durable(df)
     parts: list[DataFrame] = []
 
     def keep(frame: DataFrame, metric: str | Column, value: str) -> None:

@@ -143,9 +143,10 @@ def meteor(spark, sf):
 
 def _distinct_sql(source: str, text: str, by: str) -> str:
     grams = " UNION ALL ".join(f"SELECT {by}, {n} AS n, unnest({sql_grams('w', n)}) AS gram FROM words" for n in range(1, 5))
-    return f"""words AS (SELECT {by}, {sql_words(text)} AS w FROM {source}), grams AS ({grams})
-    SELECT {by}, CAST(n AS INT) AS n, count(DISTINCT gram) AS unique_ngrams, count(*) AS total_ngrams,
-    CAST(count(DISTINCT gram) AS DOUBLE) / count(*) AS "distinct" FROM grams GROUP BY {by}, n"""
+    return f"""words AS (SELECT {by}, {sql_words(text)} AS w FROM {source}), grams AS ({grams}),
+    counted AS (SELECT {by}, n, gram, count(*) AS c FROM grams GROUP BY ALL)
+    SELECT {by}, CAST(n AS INT) AS n, count(*) AS unique_ngrams, CAST(sum(c) AS BIGINT) AS total_ngrams,
+    CAST(count(*) AS DOUBLE) / sum(c) AS "distinct" FROM counted GROUP BY {by}, n"""
 
 
 @query("distinct_n", f"WITH {_distinct_sql('documents', 'text', 'lang')}", doubles=[])

@@ -153,6 +153,8 @@ def sql_alnum(x: str) -> str:
 
 
 def sql_grams(tokens: str, n: int, joiner: str = "chr(31)") -> str:
+    if n == 1:
+        return tokens
     return (
         f"list_transform(range(1, CAST(len({tokens}) AS BIGINT) - {n - 2}), "
         f"lambda i: array_to_string({tokens}[i:i + {n - 1}], {joiner}))"

@@ -181,3 +181,28 @@ def log_metrics(logs: DataFrame, step: str = "step") -> DataFrame:
         .select("timestamp", "step", "metric", F.col("_v").try_cast("double").alias("value"))
         .filter(F.col("value").isNotNull())
     )
+
+
+def read_arrow(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Arrow files of a folder, one task per file, batch by batch."""
+    import pyarrow as pa
+    from pyarrow import fs as pafs
+
+    uri = path if "://" in path else f"file://{path}"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").load(path).select("path")
+    n = max(files.count(), 1)
+    local = "://" not in uri or uri.startswith("file:")
+
+    def load(batches):
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                if local:
+                    source, target = pafs.LocalFileSystem(), name.removeprefix("file:")
+                else:
+                    source, target = pafs.FileSystem.from_uri(name)
+                with source.open_input_file(target) as f:
+                    reader = pa.ipc.open_file(f)
+                    for i in range(reader.num_record_batches):
+                        yield reader.get_batch(i)
+
+    return files.repartition(n).mapInArrow(load, schema)
