@@ -85,7 +85,8 @@ def _runs(tokens: Column, n: int, joiner: str) -> Column:
     last = F.size(tokens) - n
     runs = F.transform(
         F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda i: F.array_join(F.slice(tokens, i + 1, n), joiner),
+        # single elements, because a slice copies the whole array for every run
+        lambda i: F.concat_ws(joiner, *[F.get(tokens, i + j) for j in range(n)]),
     )
     return F.when(last >= 0, runs).otherwise(F.array().cast("array<string>"))
 

@@ -111,12 +111,12 @@ def with_cuts(
 ) -> DataFrame:
     """``df`` plus a boolean column per cut: is the row among the first k of its group?"""
     names = list(cuts(F.lit(1)))
-    keys = cut_keys(df, row_id, seed, cuts, group).drop("_total")
+    keys = cut_keys(df, row_id, seed, cuts, group)
     here = F.struct(seeded_key(row_id, seed).alias("key"), F.col(row_id).alias("row_id"))
     flags = [F.coalesce(here <= F.col(f"_cut_{n}"), F.lit(False)).alias(n) for n in names]
     keys = keys.withColumnsRenamed({n: f"_cut_{n}" for n in names})
     if group:
-        joined = lookup(df, keys, list(group))
+        joined = lookup(df, keys, list(group), weight="_total")
     else:
         # without groups there is one row of keys, which becomes literals
         found = keys.first()

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions import text as tx
-from tablewright.operators.sized import lookup
+from tablewright.operators.sized import lookup, task_count
 
 KEYS = ("dataset", "model", "example_id")
 GROUP = ("dataset", "model")
@@ -29,9 +29,12 @@ def gram_table(
     prediction: str = "prediction",
     references: str | Column = "references",
     keys: Sequence[str] = KEYS,
+    single: bool = False,
 ) -> DataFrame:
     """``(keys, n, gram, c_pred, c_ref)``, with c_ref the highest count in a reference.
 
+    ``single`` says that there is one reference, which saves a counting step.
+
     ``grams`` turns a text into an array of ``(n, gram)``. Every example keeps one row
     with n = 0, so that empty texts are counted.
     """
@@ -39,10 +42,14 @@ def gram_table(
     sides = F.concat(F.array(F.col(prediction)), _references(references))
     long = (
         df.select(*keys, sides.alias("_sides"))
-        .repartition(*keys)
+        .repartition(task_count(df), *keys)
         .select(*keys, F.posexplode("_sides").alias("_side", "_text"))
         .select(*keys, "_side", F.inline(F.concat(marker, grams(F.col("_text")))))
     )
+    if single:
+        return long.groupBy(*keys, "n", "gram").agg(
+            F.count_if(F.col("_side") == 0).alias("c_pred"), F.count_if(F.col("_side") == 1).alias("c_ref")
+        )
     per_side = long.groupBy(*keys, "_side", "n", "gram").agg(F.count(F.lit(1)).alias("_c"))
     return per_side.groupBy(*keys, "n", "gram").agg(
         F.coalesce(F.sum(F.when(F.col("_side") == 0, F.col("_c"))), F.lit(0)).alias("c_pred"),
@@ -93,7 +100,7 @@ def rouge_n(
             tokens = stem_words(tokens)
         return tx.ngrams_up_to(tokens, max(orders))
 
-    stats = order_stats(gram_table(df, grams, prediction, F.array(F.col(reference)), keys), orders, keys)
+    stats = order_stats(gram_table(df, grams, prediction, F.array(F.col(reference)), keys, single=True), orders, keys)
     scores = [
         f_measure(
             ratio(F.col(f"match_{n}"), F.col(f"pred_{n}")), ratio(F.col(f"match_{n}"), F.col(f"ref_{n}"))
@@ -150,7 +157,7 @@ def bleu_stats(
     wide = [*keys, "hyp_len", "ref_len"]
     marker = F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("gram")))
     long = (
-        sized.repartition(*keys)
+        sized.repartition(task_count(df), *keys)
         .select(*wide, F.posexplode(F.concat(F.array("_pred"), "_refs")).alias("_side", "_text"))
         .select(*wide, "_side", F.inline(F.concat(marker, tx.ngrams_up_to(tx.words(F.col("_text")), max_order))))
     )
@@ -292,9 +299,9 @@ def self_bleu(
             .when(F.col("hyp_len") - F.col("_lo") <= F.col("_hi") - F.col("hyp_len"), F.col("_lo"))
             .otherwise(F.col("_hi")),
         )
-        .select(*by, "hyp_len", "ref_len")
+        .select(*by, "hyp_len", "ref_len", "_m")
     )
-    stats = lookup(own.join(losses, [*by, "_id"], "left"), lengths, [*by, "hyp_len"])
+    stats = lookup(own.join(losses, [*by, "_id"], "left"), lengths, [*by, "hyp_len"], weight="_m")
     for n in range(1, max_order + 1):
         total = F.greatest(F.col("hyp_len") - (n - 1), F.lit(0))
         stats = stats.withColumn(f"match_{n}", total - F.coalesce(f"_loss_{n}", F.lit(0))).withColumn(
@@ -330,7 +337,7 @@ def chrf(
         )
         return F.concat(marks, tokens)
 
-    table = gram_table(df, grams, prediction, F.array(F.col(reference)), keys)
+    table = gram_table(df, grams, prediction, F.array(F.col(reference)), keys, single=True)
     orders = (
         table.filter("n > 0")
         .groupBy(*by, "n")
@@ -356,7 +363,7 @@ def f1_token(
     def grams(text: Column) -> Column:
         return tx.ngrams_up_to(tx.words(tx.normalize_answer(text)), 1)
 
-    stats = order_stats(gram_table(df, grams, prediction, F.array(F.col(reference)), keys), [1], keys)
+    stats = order_stats(gram_table(df, grams, prediction, F.array(F.col(reference)), keys, single=True), [1], keys)
     p, r = ratio(F.col("match_1"), F.col("pred_1")), ratio(F.col("match_1"), F.col("ref_1"))
     if average == "macro":
         per_row = stats.select(*by, p.alias("p"), r.alias("r"), f_measure(p, r).alias("f"))

@@ -125,13 +125,14 @@ def token_chunks(n_tokens: Column, stride: int = 512, max_length: int = 1024) ->
 
 
 def _bigrams(tokens: Column) -> Column:
-    n = F.size(tokens)
-    pairs = F.zip_with(
-        F.slice(tokens, 1, F.greatest(n - 1, F.lit(0))),
-        F.slice(tokens, 2, F.greatest(n - 1, F.lit(0))),
-        lambda a, b: F.struct(a.alias("prev"), b.alias("word")),
-    )
-    return F.when(n > 1, pairs).otherwise(F.array().cast("array<struct<prev:string,word:string>>"))
+    def neighbours(t: Column) -> Column:
+        found = F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(t) - 2, F.lit(0))),
+            lambda i: F.struct(F.get(t, i).alias("prev"), F.get(t, i + 1).alias("word")),
+        )
+        return F.filter(found, lambda p: p["word"].isNotNull())
+
+    return tx.let(tokens, neighbours)
 
 
 def ngram_lm_fit(df: DataFrame, column: str) -> DataFrame:
@@ -160,14 +161,13 @@ def ngram_lm_score(
         .groupBy(row_id, "prev", "word")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    seen = lookup(own, model, ["prev", "word"])
-    heads = lookup(
-        seen.filter("n_prev IS NULL").drop("n", "n_prev"),
-        model.groupBy("prev").agg(F.sum("n").alias("n_prev")),
-        ["prev"],
-    ).withColumn("n", F.lit(0).cast("long"))
+    seen = lookup(own, model, ["prev", "word"], weight="n")
+    # a pair the model lacks may still have a known first word
+    heads = model.groupBy("prev").agg(F.max("n_prev").alias("_seen"))
+    unseen = lookup(seen.filter("n_prev IS NULL"), heads, ["prev"], weight="_seen")
+    unseen = unseen.withColumns({"n": F.lit(0).cast("long"), "n_prev": F.col("_seen")})
     columns = [row_id, "_c", "n", "n_prev"]
-    scored = seen.filter("n_prev IS NOT NULL").select(*columns).unionByName(heads.select(*columns))
+    scored = seen.filter("n_prev IS NOT NULL").select(*columns).unionByName(unseen.select(*columns))
     p = (F.col("n") + k) / (F.coalesce("n_prev", F.lit(0)) + k * vocabulary)
     return scored.groupBy(row_id).agg(
         F.exp(-F.sum(F.col("_c") * F.log(p)) / F.sum("_c")).alias("perplexity"), F.sum("_c").alias("n_bigrams")

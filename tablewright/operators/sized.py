@@ -39,29 +39,41 @@ def lookup(
     small: DataFrame,
     on: list[str],
     how: str = "left",
+    weight: str | None = None,
     max_rows: int = MAX_ROWS,
-    hot_rows: int | None = None,
+    rows_per_task: int = 1_000_000,
 ) -> DataFrame:
     """Join ``df`` with a table that is unique on ``on``.
 
-    Within the bound this is a map-side join. Beyond it, keys found more than
-    ``hot_rows`` times in ``df`` are taken out and joined by broadcast, and only the
-    rest is shuffled, so that no task receives all rows of a hot key.
+    Within the bound this is a map-side join. Beyond it the join shuffles, and
+    ``weight`` names the column of ``small`` that tells how many rows of ``df`` have the
+    key: a key with more than ``rows_per_task`` gets that many copies under different
+    salts, so that its rows go to several tasks. The column is not added to the result
+    unless it is among the wanted ones anyway.
     """
     probe = pinned(small, max_rows)
     if probe is not small:
         return df.join(probe, on, how)
-    hot_rows = hot_rows or 1_000_000
-    hot = (
-        df.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= hot_rows)
-        .select(*on)
-    )
-    hot = pinned(hot, max_rows)
-    hot_small = F.broadcast(small.join(hot, on, "left_semi"))
-    return (
-        df.join(hot, on, "left_semi")
-        .join(hot_small, on, how)
-        .unionByName(df.join(hot, on, "left_anti").join(small, on, how))
-    )
+    if weight is None:
+        return df.join(small, on, how)
+    salts = F.greatest(F.ceil(F.col(weight) / rows_per_task), F.lit(1))
+    hot = pinned(small.filter(F.col(weight) > rows_per_task).select(*on, salts.alias("_salts")), max_rows)
+    spot = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_salts"))
+    salted = df.join(hot, on, "left").withColumn("_salt", F.coalesce(spot, F.lit(0).cast("long"))).drop("_salts")
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def task_count(df: DataFrame) -> int:
+    """Tasks to spread row-multiplying work over; a given number is not coalesced."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A stored table, dealt out when its files give fewer splits than there are cores.
+
+    Large tables have more splits than cores and stay as they are. Only for frames that
+    read files and nothing else: counting their splits runs no job.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores // 2 else table

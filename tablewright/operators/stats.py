@@ -136,7 +136,7 @@ def exact_percentiles(
     upto = scan(counted, group, [value], Running("_upto", "sum", F.col("_n")))
     if group:
         totals = counted.groupBy(*group).agg(F.sum("_n").alias("_total"))
-        joined = lookup(upto, totals, group, "inner")
+        joined = lookup(upto, totals, group, "inner", weight="_total")
     else:
         joined = upto.withColumn("_total", F.lit(df.filter(F.col(value).isNotNull()).count()))
     wanted = F.array(*[F.lit(float(p)) for p in points])

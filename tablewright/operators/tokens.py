@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tablewright.functions import text as tx
 from tablewright.operators.scan import RowNumber, Running, scan
 from tablewright.operators.sized import lookup, small_table
+from tablewright.session import durable
 
 SPECIALS = ("<pad>", "<unk>", "<s>", "</s>")
 PERCENTILES = (0, 25, 50, 75, 90, 95, 99, 100)
@@ -97,7 +98,7 @@ def encode(
     else:
         flat = df.select(row_id, F.posexplode(tokens).alias("_at", "token"))
         ids = (
-            lookup(flat, vocab.select("token", "token_id"), ["token"], "left", max_rows=1)
+            lookup(flat, vocab.select("token", "token_id", "n"), ["token"], weight="n", max_rows=1)
             .groupBy(row_id)
             .agg(F.array_sort(F.collect_list(F.struct("_at", F.coalesce("token_id", F.lit(unknown)).alias("id")))).alias("_s"))
             .select(row_id, F.transform("_s", lambda x: x["id"]).alias("_ids"))
@@ -168,14 +169,14 @@ def pack_sequences(
     block bounds, and a block never holds more than ``block`` tokens.
     """
     shard = list(shard)
+    df = durable(df.select(*shard, row_id, "input_ids"))
     sizes = df.select(*shard, row_id, F.size("input_ids").cast("long").alias("_size")).filter("_size > 0")
     starts = scan(sizes, shard, [row_id], Running("_start", "sum", F.col("_size"), inclusive=False))
     starts = starts.select(row_id, F.coalesce("_start", F.lit(0).cast("long")).alias("_start"), "_size")
     first = F.floor(F.col("_start") / block)
     last = F.floor((F.col("_start") + F.col("_size") - 1) / block)
     cut = (
-        df.select(*shard, row_id, "input_ids")
-        .join(starts, row_id)
+        lookup(df, starts, [row_id], "inner")
         .select(*shard, "_start", "_size", "input_ids", F.explode(F.sequence(first, last)).alias("block"))
         .withColumn("_from", F.greatest(F.col("block") * block, F.col("_start")))
         .withColumn("_to", F.least((F.col("block") + 1) * block, F.col("_start") + F.col("_size")))
