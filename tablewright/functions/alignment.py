@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -212,13 +213,27 @@ def meteor_udf(alpha: float = 0.9, beta: float = 3.0, gamma: float = 0.5, synony
     return run
 
 
+def _relist(lists: pa.Array, values: pa.Array) -> pa.Array:
+    """``values`` cut up like the elements of ``lists``."""
+    return pa.ListArray.from_arrays(pc.subtract(lists.offsets, lists.offsets[0]), values)
+
+
+def _stem_lists(batch: pa.Array) -> pa.Array:
+    flat = batch.flatten().dictionary_encode()
+    stems = pa.array([stem(t) if len(t) > 3 else t for t in flat.dictionary.to_pylist()], pa.string())
+    return _relist(batch, stems.take(flat.indices))
+
+
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def stem_words(batch: pa.Array) -> pa.Array:
     """Porter stems of words longer than three letters; distinct words are stemmed once."""
-    flat = batch.flatten().dictionary_encode()
-    stems = pa.array([stem(t) if len(t) > 3 else t for t in flat.dictionary.to_pylist()], pa.string())
-    offsets = pa.compute.subtract(batch.offsets, batch.offsets[0])
-    return pa.ListArray.from_arrays(offsets, stems.take(flat.indices))
+    return _stem_lists(batch)
+
+
+@F.arrow_udf(T.ArrayType(T.ArrayType(T.StringType())))
+def stem_lines(batch: pa.Array) -> pa.Array:
+    """The same for the word lists of several lines."""
+    return _relist(batch, _stem_lists(batch.flatten()))
 
 
 @F.pandas_udf(T.StructType().add("precision", T.DoubleType()).add("recall", T.DoubleType()))

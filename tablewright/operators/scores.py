@@ -33,12 +33,9 @@ def rouge_l(
         lines = F.filter(F.split(F.coalesce(F.col(c), F.lit("")), "\n"), lambda s: s != "")
         return F.transform(lines, tx.alnum_words)
 
-    if stem:
-        # a line keeps its place, so stems are made per flat list and cut up again
-        def lines_of(c: str) -> Column:
-            return _stemmed_lines(sentences(c))
-    else:
-        lines_of = sentences
+    def lines_of(c: str) -> Column:
+        return al.stem_lines(sentences(c)) if stem else sentences(c)
+
     return df.select(
         *keys,
         al.rouge_l_udf(ref, pred).alias("rougeL"),
@@ -46,19 +43,6 @@ def rouge_l(
     )
 
 
-def _stemmed_lines(lines: Column) -> Column:
-    flat = al.stem_words(F.flatten(lines))
-    sizes = F.transform(lines, lambda x: F.size(x))
-    starts = F.transform(
-        F.sequence(F.lit(0), F.size(lines) - 1),
-        lambda i: F.aggregate(F.slice(sizes, 1, i), F.lit(0), lambda a, b: a + b),
-    )
-    return F.when(
-        F.size(lines) > 0,
-        F.zip_with(starts, sizes, lambda s, n: F.slice(flat, s + 1, n)),
-    ).otherwise(F.array().cast("array<array<string>>"))
-
-
 def meteor(
     df: DataFrame, keys: Sequence[str] = KEYS, prediction: str = "prediction", references: str | Column = "references",
     synonyms: dict[str, str] | None = None,

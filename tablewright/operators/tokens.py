@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -116,8 +117,6 @@ def encode(
 
 def encode_with(df: DataFrame, column: str, tokenizer: Callable[[str], Sequence[int]], max_length: int = 2048) -> DataFrame:
     """Encoding by a caller's own tokenizer, batched through Arrow."""
-    import pandas as pd
-
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: list(tokenizer(t or ""))[:max_length])

@@ -242,14 +242,17 @@ def stream_plateau(spark, sf):
 
 @query("stream_late_rows")
 def stream_late_rows(spark, sf):
-    """The events in two files, newest days first: rows behind the watermark are dropped
-    and counted."""
+    """The events in three files, newest days first.
+
+    A batch drops rows by the watermark of the batch before the last, so the third file
+    is behind it: its rows are dropped and counted.
+    """
     events = requests(spark, sf)
     folder = fresh_folder(spark, "late")
-    middle = F.lit("2024-01-20").cast("timestamp")
-    events.filter(F.col("ts") >= middle).coalesce(1).write.parquet(folder)
-    time.sleep(1.1)  # the file source takes older files first
-    events.filter(F.col("ts") < middle).coalesce(1).write.mode("append").parquet(folder)
+    for low, high in (("2024-01-20", "2100-01-01"), ("2024-01-15", "2024-01-20"), ("1970-01-01", "2024-01-15")):
+        days = (F.col("ts") >= F.lit(low).cast("timestamp")) & (F.col("ts") < F.lit(high).cast("timestamp"))
+        events.filter(days).coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(1.1)  # the file source takes older files first
     stream = ss.read_stream(spark, folder, events.schema, "parquet", files_per_trigger=1)
     counted = tm.request_counters(stream, "6 hours", watermark="2 hours")
     out = fresh_folder(spark, "late-out")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-COMPRESSIONS = {None: "uncompressed", "none": "uncompressed", "snappy": "snappy", "gzip": "gzip", "lz4": "lz4raw", "zstd": "zstd"}
+COMPRESSIONS = {None: "uncompressed", "none": "uncompressed", "snappy": "snappy", "gzip": "gzip", "lz4": "lz4_raw", "zstd": "zstd"}
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
