@@ -59,7 +59,7 @@ def run(spark, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     names = sys.argv[1:] or HEADLINES
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "tablewright-bench")
     times = {}
     for name in names:

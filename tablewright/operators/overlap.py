@@ -267,6 +267,7 @@ def self_bleu(
         .groupBy(*by, "_id", "n", "gram")
         .agg(F.count(F.lit(1)).alias("c"))
     )
+    # per n-gram one row for each distinct count, so the lists below stay short
     levels = counts.groupBy(*by, "n", "gram", "c").agg(
         F.count(F.lit(1)).alias("m"), F.min("_id").alias("_id")
     )

@@ -76,17 +76,24 @@ def profile(df: DataFrame, columns: Sequence[str], points: Sequence[float] = PER
         )
         return frame.select(F.lit(section).alias("section"), column.alias("column"), F.inline(pairs))
 
-    shape = df.agg(F.count(F.lit(1)).alias("num_samples")).withColumn("num_columns", F.lit(len(df.columns)))
+    # sizes, nulls and blanks come from one pass, lengths from a second one
+    blanks = string_columns(df)
+    facts_of = {("shape", "*", "num_samples"): F.count(F.lit(1)), ("shape", "*", "num_columns"): F.lit(len(df.columns))}
+    facts_of |= {("nulls", c, "n_null"): F.count_if(F.col(c).isNull()) for c in df.columns}
+    facts_of |= {("blanks", c, "n_empty"): F.count_if(tx.is_blank(c)) for c in blanks}
+    counted = df.agg(*[e.cast("double").alias(f"_f{i}") for i, e in enumerate(facts_of.values())])
+    entries = [
+        F.struct(F.lit(s).alias("section"), F.lit(c).alias("column"), F.lit(k).alias("stat"), F.col(f"_f{i}").alias("value"))
+        for i, (s, c, k) in enumerate(facts_of)
+    ]
+    out = counted.select(F.inline(F.array(*entries))).filter("section = 'shape' OR value > 0")
     lengths = length_stats(df, columns, points)
-    names = [c for c in lengths.columns if c != "column"]
-    everything = F.lit("*")
-    out = facts(shape, "shape", everything, ["num_samples", "num_columns"])
-    out = out.unionByName(facts(lengths, "length", F.col("column"), names))
-    out = out.unionByName(facts(null_counts(df), "nulls", F.col("column"), ["n_null"]))
-    out = out.unionByName(facts(empty_counts(df), "blanks", F.col("column"), ["n_empty"]))
+    out = out.unionByName(
+        facts(lengths, "length", F.col("column"), [c for c in lengths.columns if c != "column"])
+    )
     if "input_ids" in df.columns:
         sizes = count_statistics(df, F.size("input_ids"), "tokens")
-        out = out.unionByName(facts(sizes, "tokens", everything, sizes.columns))
+        out = out.unionByName(facts(sizes, "tokens", F.lit("*"), sizes.columns))
     return out
 
 

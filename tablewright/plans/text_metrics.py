@@ -314,11 +314,11 @@ def ngram_lm_score(spark, sf):
 
 @query(
     "perplexity_filter",
-    f"WITH {LM_SCORES} SELECT doc_id, source FROM documents LEFT JOIN scored USING (doc_id) WHERE perplexity IS NULL OR perplexity <= 1500",
+    f"WITH {LM_SCORES} SELECT doc_id, source FROM documents LEFT JOIN scored USING (doc_id) WHERE perplexity IS NULL OR perplexity <= 20000",
 )
 def perplexity_filter(spark, sf):
     docs = table(spark, sf, "documents")
-    return sc.perplexity_filter(docs, _lm_scores(spark, sf), 1500, "doc_id").select("doc_id", "source")
+    return sc.perplexity_filter(docs, _lm_scores(spark, sf), 20_000, "doc_id").select("doc_id", "source")
 
 
 # --- embeddings --------------------------------------------------------------
