@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontaminate, quality, repeats
+from tablewright.llm import decontaminate, near_dups, quality, repeats, toxicity
 from tablewright.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_decontaminate")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_minhash_near_dups")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
