@@ -4,16 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontaminate
+from tablewright.llm import decontaminate, mixture, near_dups, shards, toxicity
 from tablewright.llm.tables import stored, table
 
 
-def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model of these documents does not reject."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_dups.one_of_each(docs)
+
+
+def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("decontaminate", decontaminated)]
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target weights of their sources ask for."""
+    return mixture.drawn(docs)
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows with their shard and slot."""
+    return shards.with_shards(docs)
+
+
+STAGES = [("toxicity", clean), ("near_dups", distinct), ("decontaminate", unseen), ("mix", mixed), ("shard", sharded)]
 
 #: the near-duplicate and toxicity stages can't be stated in SQL
 ORACLE_SQL = None

@@ -15,11 +15,10 @@ no key with probability 5e-6.
 
 Verification. Equal texts are one node before anything else. Texts that share a key form a
 bucket. The smallest node of a bucket is compared with all others by the exact similarity
-of the whole texts, links are connected to classes, and only buckets that still hold
-several classes go on, with their next 2, 4, 8, ... nodes as centres, compared with nodes of
-other classes. A group of true copies is thus done after as many comparisons as it has
-members, and every pair that could join two classes is compared in the end. Nodes, links
-and classes are frames throughout.
+of the whole texts, and links are connected to classes. In buckets that still hold several
+classes, the nodes of different classes are compared block by block inside the tasks: no
+pairs are emitted but those that join two classes. So every pair that could join two
+classes is compared in the end. Nodes, links and classes are frames throughout.
 
 Defined cases: a null text is alone in its class; equal texts share one, also the empty
 text; texts without words are never similar to others. The class id is the smallest doc_id
@@ -44,6 +43,9 @@ SIMILARITY = 0.8
 ROWS = 6
 BANDS = 40
 SIGN_BYTES = 8 << 20
+BLOCK_NODES = 64
+BLOCK_BYTES = 256 << 10
+TABLE_CELLS = 1 << 24
 
 
 def shingles(column: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,6 +158,77 @@ def verified(edges: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
     return edges.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def across(named: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links between classes that meet in a bucket.
+
+    named has key, node and class. Every pair of nodes of different classes in a bucket is
+    compared, block against block: a row holds two blocks of at most ``BLOCK_NODES`` nodes, of
+    about ``BLOCK_BYTES`` of text, and gives back at most one link for each two classes it joins.
+    """
+    mixed = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
+    sizes = texts.select("node", F.greatest(F.octet_length("text"), F.lit(BLOCK_BYTES // BLOCK_NODES)).cast("bigint").alias("bytes"))
+    order = Window.partitionBy("key").orderBy("class", "node")
+    before = F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    place = F.floor(F.coalesce(before, F.lit(0)) / BLOCK_BYTES)
+    ranked = named.join(mixed, "key").join(sizes, "node").select("key", "node", "class", place.alias("block"))
+    blocks = ranked.join(texts, "node").groupBy("key", "block").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"), F.collect_list(F.struct("node", "class", "text")).alias("docs")
+    )
+    a, b = blocks.alias("a"), blocks.alias("b")
+    apart = (F.col("a.block") <= F.col("b.block")) & (F.least("a.low", "b.low") < F.greatest("a.high", "b.high"))
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & apart)
+    own = F.col("a.block") == F.col("b.block")
+    pairs = pairs.select(F.col("a.docs").alias("left"), F.when(~own, F.col("b.docs")).otherwise(F.array()).alias("right"))
+
+    # rows are large: they go to Python in batches by their bytes, which Arrow does not do
+    @F.udf(returnType="array<struct<a:bigint,b:bigint>>", useArrow=False)
+    def compare(left, right):
+        return links_of(left, right, similarity)
+
+    return pairs.select(F.explode(compare("left", "right")).alias("link")).select("link.*").distinct()
+
+
+def links_of(left: list[tuple], right: list[tuple], similarity: float) -> list[tuple[int, int]]:
+    """Similar nodes of different classes among ``left`` (if ``right`` is empty) or between the
+    two, as few as join the same classes."""
+    both = [*left, *right]
+    node, mark = [x[0] for x in both], [x[1] for x in both]
+    rows, items, counts = shingles(pa.array([x[2] for x in both], pa.string()))
+    n, half = len(both), len(left)
+    _, columns = np.unique(items, return_inverse=True)
+    total, distinct = np.bincount(rows, counts, minlength=n), np.bincount(rows, minlength=n)
+    width = int(columns.max()) + 1 if len(columns) else 1
+    folded = width > max(1, TABLE_CELLS // n)  # very long texts: cells are shared, and every pair with a common cell is looked at
+    if folded:
+        columns, width = columns % max(1, TABLE_CELLS // n), max(1, TABLE_CELLS // n)
+    table = np.zeros((n, width), np.float32)
+    table[rows, columns] = 1
+    common = (table[:half] @ table[half:].T) if len(right) else np.triu(table @ table.T, 1)
+    other = distinct[half:] if len(right) else distinct
+    union = distinct[:half, None] + other[None, :] - common
+    # without repeated shingles the similarity is common over union; with them the exact sum decides
+    weighed = (total > distinct) | folded
+    loose = np.where(weighed[:half, None] | (weighed[half:] if len(right) else weighed)[None, :], common > 0, common >= (similarity - 1e-6) * union)
+    order = np.lexsort((items, rows))
+    cuts = np.searchsorted(rows[order], np.arange(n + 1))
+    sets = lambda i: (items[order][cuts[i] : cuts[i + 1]], counts[order][cuts[i] : cuts[i + 1]])
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in root:
+            x = root[x]
+        return x
+
+    found = []
+    for i, j in zip(*np.nonzero(loose & (common > 0)), strict=True):
+        i, j = int(i), int(j) + (half if len(right) else 0)
+        x, y = top(mark[i]), top(mark[j])
+        if x != y and probability_jaccard(sets(i), sets(j)) >= similarity - 1e-9:
+            root[max(x, y)] = min(x, y)
+            found.append((node[i], node[j]))
+    return found
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, class) of every linked node; class is the smallest node it is connected with.
 
@@ -201,25 +274,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, rows: int = ROWS, b
     tested = stored(members.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "edges")
     links = stored(verified(tested, texts, similarity), "similar")
     label = connected(links)
-    turn = 1
-    while True:
-        named = members.select("key", "node").join(label, "node", "left").withColumn("class", F.coalesce("class", "node"))
-        mixed = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("size"))
-        # centres of this turn have ranks 2^turn - 1 and on; one more member must follow
-        mixed = stored(mixed.filter((F.col("low") < F.col("high")) & (F.col("size") > 2**turn)).select("key"), "mixed")
-        if mixed.isEmpty():
-            return marks.select("doc_id", "node"), label
-        ranked = named.join(mixed, "key").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("node")) - 1)
-        centre = ranked.filter(F.col("rank").between(2**turn - 1, 2 ** (turn + 1) - 2))
-        centre = centre.select("key", F.col("node").alias("a"), F.col("class").alias("class_a"))
-        pairs = centre.join(ranked.select("key", F.col("node").alias("b"), "class"), "key").filter("a < b AND class <> class_a")
-        fresh = stored(pairs.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "edges")
-        found = stored(verified(fresh, texts, similarity), "similar")
-        if not found.isEmpty():
-            links = links.union(found)
-            label = connected(links)
-        tested = tested.union(fresh)
-        turn += 1
+    named = members.select("key", "node").join(label, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    more = stored(across(named, texts, similarity), "similar")
+    if not more.isEmpty():
+        label = connected(links.union(more))
+    return marks.select("doc_id", "node"), label
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontaminate, near_dups, quality, repeats, toxicity
+from tablewright.llm import decontaminate, html_text, mixture, near_dups, pii, quality, repeats, shards, token_ids, toxicity
 from tablewright.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,17 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_token_ids")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_ids.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query("op2_substring_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents"))
@@ -34,11 +45,26 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+@query("op4_mix_sources")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mixed(table(spark, sf_dir, "documents"))
+
+
+@query("op5_html_text")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 @query("op6_decontaminate")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op7_kd_shards")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.sharded(table(spark, sf_dir, "documents"))
+
+
 @query("op8_minhash_near_dups")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
@@ -47,3 +73,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_toxicity")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_pii")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.findings(table(spark, sf_dir, "documents"))
