@@ -121,7 +121,8 @@ def blocks(page: str) -> list[Block]:
             continue
         content, bad, hidden = stack[-1][1:] if stack else (0, 0, False)
         whole = name in CONTENT or name in ("html", "body")
-        if name in BOILERPLATE or hinted(attributes) and (not whole or name == "article" and bool(content)):
+        # an article's own header is part of it
+        if name in BOILERPLATE and not (name == "header" and content) or hinted(attributes) and (not whole or name == "article" and bool(content)):
             bad += 1
         stack.append((name, int(content or name in CONTENT), bad, hidden or name in HIDDEN or bool(HIDDEN_ATTRIBUTE.search(" " + attributes))))
     add(page[at:])
@@ -161,6 +162,13 @@ LABELLED = [
     [("b", 50, 0, 0), ("b", 16, 1, 0), ("bh", 3, 0, 0), ("x", 18, 0, 1), ("x", 70, 0, 1), ("b", 5, 0, 0), ("x", 28, 2, 1), ("x", 10, 9, 0), ("x", 7, 7, 0), ("b", 110, 4, 0)],
     [("x", 3, 3, 0), ("x", 3, 3, 0), ("x", 2, 2, 0), ("x", 4, 4, 0), ("x", 6, 5, 0), ("b", 9, 0, 0)],
     [("x", 35, 0, 1), ("x", 5, 0, 1), ("x", 50, 0, 1), ("x", 1, 1, 0), ("x", 1, 1, 0)],
+    [("ch", 12, 0, 1), ("c", 400, 0, 1), ("c", 90, 0, 1), ("c", 2, 0, 1), ("c", 300, 0, 1), ("c", 75, 0, 1)],
+    [("b", 6, 6, 0), ("ch", 5, 0, 1), ("c", 70, 70, 1), ("c", 160, 80, 1), ("c", 1, 0, 1), ("c", 88, 0, 1), ("x", 45, 0, 0), ("x", 130, 0, 0), ("x", 3, 0, 0)],
+    [("x", 95, 0, 0), ("x", 28, 28, 0), ("c", 150, 0, 1), ("c", 33, 0, 1), ("c", 4, 4, 1), ("c", 260, 12, 1), ("x", 66, 3, 0), ("xh", 4, 0, 0), ("x", 110, 0, 0)],
+    [("xh", 8, 0, 0), ("x", 70, 0, 0), ("ch", 9, 0, 1), ("c", 34, 0, 1), ("c", 500, 0, 1), ("c", 20, 18, 1), ("c", 3, 0, 1), ("x", 15, 15, 0)],
+    [("c", 45, 0, 1)], [("c", 250, 0, 1), ("c", 41, 0, 1)], [("x", 50, 0, 0), ("c", 40, 0, 1)], [("c", 80, 2, 1), ("x", 120, 0, 0)],
+    [("x", 90, 0, 1), ("x", 100, 0, 1), ("x", 35, 0, 1), ("x", 64, 0, 1), ("x", 48, 1, 1)],
+    [("x", 55, 0, 1), ("x", 45, 4, 1), ("x", 80, 10, 1), ("x", 60, 9, 1), ("x", 70, 5, 1), ("x", 6, 6, 0), ("x", 30, 28, 0), ("x", 40, 36, 0)],
     [("c", 1, 0, 1)], [("c", 2, 2, 1)], [("x", 20, 0, 1)], [("x", 3, 3, 0)], [("b", 20, 0, 0)],
 ]
 
