@@ -24,7 +24,6 @@ ordered by a hash of their ids. Repeated rows are stored as often as they occur.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -74,9 +73,6 @@ def unpacked(control: bytes, data: bytes, n: int) -> np.ndarray:
 class Pieces(dict):
     """Piece of text -> its ids as bytes; asks the tokenizer for the pieces it has not seen."""
 
-    #: white space other than single spaces and line ends between printing characters
-    UNUSUAL = re.compile(r"[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]|[ \n]{2}|^[ \n]|[ \n]$")
-
     def __init__(self, path: str):
         import os
 
@@ -99,7 +95,9 @@ class Pieces(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if self.UNUSUAL.search(text) or any(s in text for s in self.special):
+        flat = text.replace("\n", " ")
+        usual = "  " not in flat and flat[0] != " " and flat[-1] != " " and flat.isprintable()
+        if not usual or any(s in text for s in self.special):
             return self.ids(text)
         return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")))
 
