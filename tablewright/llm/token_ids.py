@@ -25,6 +25,7 @@ ordered by a hash of their ids. Repeated rows are stored as often as they occur.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ from tablewright.session import fresh_folder
 END_ID = 0
 BLOCK_IDS = 1 << 20
 PART_BYTES = 16 << 20
-MEMORY = 400_000
+MEMORY = 1_000_000
 
 LENGTHS = np.array([[1 + (c >> 2 * i & 3) for i in range(4)] for c in range(256)], np.int64)
 MASKS = (np.arange(4)[None, None, :] < LENGTHS[:, :, None]).reshape(256, 16)
@@ -80,26 +81,28 @@ class Pieces(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def usual(self, text: str | None) -> list[str] | None:
+        """The pieces of a text, each led by its space, None for a text to be taken whole."""
+        flat = (text or " ").replace("\n", " ")
+        if "  " in flat or flat[0] == " " or flat[-1] == " " or not flat.isprintable() or any(s in text for s in self.special):
+            return None
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text; the pieces not yet known go to the tokenizer together."""
+        cut = [self.usual(t) for t in texts]
         if len(self) >= MEMORY:
             self.clear()
-        found = self[piece] = self.ids(piece)
-        return found
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        flat = text.replace("\n", " ")
-        usual = "  " not in flat and flat[0] != " " and flat[-1] != " " and flat.isprintable()
-        if not usual or any(s in text for s in self.special):
-            return self.ids(text)
-        return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")))
+        new = list(set().union(*(c for c in cut if c is not None)).difference(self))
+        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self[piece] = array(self.code, found.ids).tobytes()
+        return [self.ids(t or "") if c is None else b"".join(map(self.__getitem__, c)) for t, c in zip(texts, cut, strict=True)]
 
 
 _PIECES: dict[str, Pieces] = {}
@@ -112,11 +115,11 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
         if path not in _PIECES:
             _PIECES[path] = Pieces(path)
         pieces = _PIECES[path]
-        width = pieces.kind.itemsize
+        width = array(pieces.code).itemsize
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 piece = batch.slice(at, 1000)
-                ids = [pieces.encode(t) for t in piece.column("text").to_pylist()]
+                ids = pieces.encode(piece.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], ["doc_id", "width", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, width int, ids binary")
