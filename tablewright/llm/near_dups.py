@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablewright.llm.tables import BROADCAST_ROWS, joined_small, stored
+from tablewright.llm.tables import BROADCAST_ROWS, joined_small, shuffle_width, stored
 from tablewright.llm.textkit import PLAIN, Runs, buffer_of, grouped, mix, slices, window_hashes, window_starts
 
 SHINGLE = 5
@@ -174,6 +174,8 @@ def across(named: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -
     blocks = ranked.join(texts, "node").groupBy("key", "block").agg(
         F.min("class").alias("low"), F.max("class").alias("high"), F.collect_list(F.struct("node", "class", "text")).alias("docs")
     )
+    # few bytes but much work: a given number of tasks is not merged
+    blocks = blocks.repartition(4 * shuffle_width(named.sparkSession), "key")
     a, b = blocks.alias("a"), blocks.alias("b")
     apart = (F.col("a.block") <= F.col("b.block")) & (F.least("a.low", "b.low") < F.greatest("a.high", "b.high"))
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & apart)
@@ -188,6 +190,30 @@ def across(named: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -
     return pairs.select(F.explode(compare("left", "right")).alias("link")).select("link.*").distinct()
 
 
+def possible(rows: np.ndarray, items: np.ndarray, counts: np.ndarray, n: int, half: int, similarity: float) -> np.ndarray:
+    """Which pairs may be similar enough, by a bound that holds for every pair and is exact for
+    texts of equal length without repeated shingles: of the shared items the larger of the
+    two relative weights, over all items the same. ``half`` is 0 for pairs within one block."""
+    first, second = (slice(0, half), slice(half, n)) if half else (slice(0, n), slice(0, n))
+    _, column = np.unique(items, return_inverse=True)
+    width = int(column.max()) + 1 if len(column) else 1
+    levels = np.repeat(np.arange(len(rows)), counts)  # an item that occurs k times has k levels
+    level = np.arange(len(levels)) - np.repeat(np.cumsum(counts) - counts, counts)
+    _, place = np.unique(column[levels] + level * width, return_inverse=True)
+    if n * max(width, len(levels) and int(place.max()) + 1) > TABLE_CELLS:
+        out = np.ones((half or n, n - half), bool)  # very long texts: each pair is compared
+    else:
+        total = np.maximum(np.bincount(rows, counts, minlength=n), 1).astype(np.float32)
+        share, there = np.zeros((n, width), np.float32), np.zeros((n, width), np.float32)
+        share[rows, column], there[rows, column] = counts / total[rows], 1
+        deep = np.zeros((n, int(place.max()) + 1 if len(place) else 1), np.float32)
+        deep[rows[levels], place] = 1
+        least = (deep[first] @ deep[second].T) / np.maximum(total[first][:, None], total[second][None, :])
+        shared = share[first] @ there[second].T + there[first] @ share[second].T
+        out = (shared > 0) & (shared - least >= (similarity - 1e-4) * (2 - least))
+    return out if half else np.triu(out, 1)
+
+
 def links_of(left: list[tuple], right: list[tuple], similarity: float) -> list[tuple[int, int]]:
     """Similar nodes of different classes among ``left`` (if ``right`` is empty) or between the
     two, as few as join the same classes."""
@@ -195,20 +221,7 @@ def links_of(left: list[tuple], right: list[tuple], similarity: float) -> list[t
     node, mark = [x[0] for x in both], [x[1] for x in both]
     rows, items, counts = shingles(pa.array([x[2] for x in both], pa.string()))
     n, half = len(both), len(left)
-    _, columns = np.unique(items, return_inverse=True)
-    total, distinct = np.bincount(rows, counts, minlength=n), np.bincount(rows, minlength=n)
-    width = int(columns.max()) + 1 if len(columns) else 1
-    folded = width > max(1, TABLE_CELLS // n)  # very long texts: cells are shared, and every pair with a common cell is looked at
-    if folded:
-        columns, width = columns % max(1, TABLE_CELLS // n), max(1, TABLE_CELLS // n)
-    table = np.zeros((n, width), np.float32)
-    table[rows, columns] = 1
-    common = (table[:half] @ table[half:].T) if len(right) else np.triu(table @ table.T, 1)
-    other = distinct[half:] if len(right) else distinct
-    union = distinct[:half, None] + other[None, :] - common
-    # without repeated shingles the similarity is common over union; with them the exact sum decides
-    weighed = (total > distinct) | folded
-    loose = np.where(weighed[:half, None] | (weighed[half:] if len(right) else weighed)[None, :], common > 0, common >= (similarity - 1e-6) * union)
+    loose = possible(rows, items, counts, n, half if right else 0, similarity)
     order = np.lexsort((items, rows))
     cuts = np.searchsorted(rows[order], np.arange(n + 1))
     sets = lambda i: (items[order][cuts[i] : cuts[i + 1]], counts[order][cuts[i] : cuts[i + 1]])
@@ -220,8 +233,8 @@ def links_of(left: list[tuple], right: list[tuple], similarity: float) -> list[t
         return x
 
     found = []
-    for i, j in zip(*np.nonzero(loose & (common > 0)), strict=True):
-        i, j = int(i), int(j) + (half if len(right) else 0)
+    for i, j in zip(*(x.tolist() for x in np.nonzero(loose)), strict=True):
+        j += half if right else 0
         x, y = top(mark[i]), top(mark[j])
         if x != y and probability_jaccard(sets(i), sets(j)) >= similarity - 1e-9:
             root[max(x, y)] = min(x, y)
