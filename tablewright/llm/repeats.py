@@ -81,7 +81,7 @@ def packed(part: int, buckets: np.ndarray, keys: np.ndarray, extra: np.ndarray)
     order = np.argsort(buckets, kind="stable")
     buckets, keys, extra = buckets[order], keys[order], extra[order]
     names, first = np.unique(buckets, return_index=True)
-    ends = [*first[1:].tolist(), len(keys)]
+    ends = [*first[1:].tolist(), len(keys)][: len(names)]
     rows = list(zip(names.tolist(), first.tolist(), ends, strict=True))
     return pa.Table.from_arrays(
         [
