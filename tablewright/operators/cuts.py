@@ -61,6 +61,8 @@ def cut_keys(
         .withColumn("_before", F.coalesce(F.sum("_n").over(ordered), F.lit(0)))
         .withColumn("_total", F.sum("_n").over(whole))
     )
+    if list(group) == ["_group"]:
+        buckets = buckets.select("*", "_group.*")  # the cuts may depend on the group
     named = cuts(F.col("_total"))
     wanted = F.array(
         *[
@@ -111,6 +113,11 @@ def with_cuts(
 ) -> DataFrame:
     """``df`` plus a boolean column per cut: is the row among the first k of its group?"""
     names = list(cuts(F.lit(1)))
+    columns = df.columns
+    if group:
+        # a struct is never null itself, so a null group is matched as any other
+        df = df.withColumn("_group", F.struct(*group))
+        group = ["_group"]
     keys = cut_keys(df, row_id, seed, cuts, group)
     here = F.struct(seeded_key(row_id, seed).alias("key"), F.col(row_id).alias("row_id"))
     flags = [F.coalesce(here <= F.col(f"_cut_{n}"), F.lit(False)).alias(n) for n in names]
@@ -129,4 +136,4 @@ def with_cuts(
                 else F.struct(F.lit(edge["key"]).alias("key"), F.lit(edge["row_id"]).alias("row_id"))
             )
         joined = df.withColumns(bounds)
-    return joined.select(*[F.col(c) for c in df.columns], *flags)
+    return joined.select(*[F.col(c) for c in columns], *flags)

@@ -44,8 +44,12 @@ def targets(
 
 
 def _of(source: str, values: Mapping[str, int]) -> Column:
-    items = [x for s, n in values.items() for x in (F.lit(s), F.lit(n).cast("long"))]
-    return F.coalesce(F.create_map(*items)[F.col(source)], F.lit(0).cast("long"))
+    items = [x for s, n in values.items() if s is not None for x in (F.lit(s), F.lit(n).cast("long"))]
+    none = F.lit(values.get(None, 0)).cast("long")
+    if not items:
+        return none
+    known = F.coalesce(F.create_map(*items)[F.col(source)], F.lit(0).cast("long"))
+    return F.when(F.col(source).isNull(), none).otherwise(known)
 
 
 def mix(

@@ -135,6 +135,8 @@ def head_n(df: DataFrame, n: int, by: str = "dataset", row_id: str = "row_id") -
 
     The scan carries ids only; the n-th id of each dataset then bounds the table.
     """
+    if n <= 0:
+        return df.limit(0)
     numbered = scan(df.select(by, row_id), [by], [row_id], RowNumber("_rn"))
     bound = numbered.filter(F.col("_rn") == n).select(F.col(by).alias("_by"), F.col(row_id).alias("_last"))
     return (

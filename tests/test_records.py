@@ -274,3 +274,14 @@ def test_lookup_salts_hot_keys(spark):
     for options in ({"max_rows": 10}, {"max_rows": 10, "weight": "n", "rows_per_task": 50}, {}):
         got = lookup(big, small, ["k"], **options).select("id", "k", "n").collect()
         assert sorted(map(tuple, got)) == want
+
+
+def test_rows_with_a_null_group_are_cut_like_any_other(spark):
+    rows = spark.createDataFrame([(i, None if i % 4 == 0 else f"l{i % 3}") for i in range(100)], "row_id long, label string")
+    found = sp.split_stratified(rows, "label")
+    assert found.columns == ["row_id", "label", "split"] and found.count() == 100
+    assert {r["split"]: r["count"] for r in found.filter("label IS NULL").groupBy("split").count().collect()} == {"train": 22, "validation": 1, "test": 2}
+    assert sp.sample_by_label(rows, "label", 5).filter("label IS NULL").count() == 5
+    assert sp.head_n(rows, 0, by="label").count() == 0
+    equal = mx.mix(rows, "equal", source="label")
+    assert equal.count() == 100 and equal.filter("label IS NULL").count() == 25
