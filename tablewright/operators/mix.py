@@ -93,11 +93,14 @@ def interleave(
     if not counts:
         return df.withColumn("position", F.lit(0).cast("long"))
     numbered = scan(df, [source], [row_id], RowNumber("_rn"))
-    names = sorted(counts)
-    sizes = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(counts[s]).cast("long").alias("n")) for s in names])
+    # a null source comes before the named ones
+    names = sorted(counts, key=lambda s: (s is not None, s if s is not None else ""))
+    kind = df.schema[source].dataType
+    sizes = F.array(*[F.struct(F.lit(s).cast(kind).alias("s"), F.lit(counts[s]).cast("long").alias("n")) for s in names])
     n = F.col("_rn")
     earlier = F.aggregate(sizes, F.lit(0).cast("long"), lambda acc, x: acc + F.least(x["n"], n - 1))
-    same_round = F.size(F.filter(sizes, lambda x: (x["s"] < F.col(source)) & (x["n"] >= n)))
+    before = lambda s: F.col(source).isNotNull() & (s.isNull() | (s < F.col(source)))
+    same_round = F.size(F.filter(sizes, lambda x: before(x["s"]) & (x["n"] >= n)))
     out = numbered.withColumn("position", earlier + same_round)
     if stop_on_shortest:
         out = out.filter(n <= min(counts.values()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -28,7 +29,9 @@ def performance_summary(
     by, order = list(by), list(order)
     numbered = scan(df.select(*by, *order), by, order, RowNumber("_rn"))
     skipped = pinned(numbered.filter(F.col("_rn") <= warmup).select(*by, *order))
-    measured = df.join(skipped, [*by, *order], "left_anti")
+    # null groups and order keys have warm-up rows as well
+    same = reduce(lambda a, b: a & b, [F.col(f"rows.{c}").eqNullSafe(F.col(f"skipped.{c}")) for c in [*by, *order]])
+    measured = df.alias("rows").join(skipped.alias("skipped"), same, "left_anti")
     mean_latency, mean_tokens = F.avg(latency), F.avg(tokens)
     return measured.groupBy(*by).agg(
         mean_latency.alias("avg_latency_ms"),

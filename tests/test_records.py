@@ -285,3 +285,5 @@ def test_rows_with_a_null_group_are_cut_like_any_other(spark):
     assert sp.head_n(rows, 0, by="label").count() == 0
     equal = mx.mix(rows, "equal", source="label")
     assert equal.count() == 100 and equal.filter("label IS NULL").count() == 25
+    positions = [r["position"] for r in mx.interleave(rows, source="label").orderBy("position").collect()]
+    assert positions == list(range(100))
