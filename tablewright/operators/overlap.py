@@ -230,19 +230,25 @@ def corpus_bleu(
 # --- diversity ---------------------------------------------------------------
 
 
+def gram_hash() -> list[Column]:
+    """128 bits that stand for an n-gram in a shuffle."""
+    return [F.xxhash64("gram").alias("_h1"), F.xxhash64(F.lit(1), F.col("gram")).alias("_h2")]
+
+
 def distinct_n(
     df: DataFrame, column: str, by: Sequence[str] = GROUP, orders: Sequence[int] = (1, 2, 3, 4),
     normalize: bool = True, approximate: bool = False,
 ) -> DataFrame:
     """Unique over total n-grams of each group, or the unique count."""
     grams = tx.ngrams_up_to(tx.words(column), max(orders))
-    long = df.select(*by, F.inline(grams)).filter(F.col("n").isin(*orders))
+    texts = df.select(*by, column).repartition(task_count(df))
+    long = texts.select(*by, F.inline(grams)).filter(F.col("n").isin(*orders))
     if approximate:
         table = long.groupBy(*by, "n").agg(
             F.approx_count_distinct("gram", 0.01).alias("unique_ngrams"), F.count(F.lit(1)).alias("total_ngrams")
         )
     else:
-        counts = long.groupBy(*by, "n", "gram").agg(F.count(F.lit(1)).alias("_c"))
+        counts = long.groupBy(*by, "n", *gram_hash()).agg(F.count(F.lit(1)).alias("_c"))
         table = counts.groupBy(*by, "n").agg(
             F.count(F.lit(1)).alias("unique_ngrams"), F.sum("_c").alias("total_ngrams")
         )
@@ -263,15 +269,16 @@ def self_bleu(
     by = list(by)
     sized = df.select(*by, F.col(row_id).alias("_id"), F.col(column).alias("_text"))
     counts = (
-        sized.select(*by, "_id", F.inline(tx.ngrams_up_to(tx.words("_text"), max_order)))
-        .groupBy(*by, "_id", "n", "gram")
+        sized.repartition(task_count(df), "_id")
+        .select(*by, "_id", F.inline(tx.ngrams_up_to(tx.words("_text"), max_order)))
+        .groupBy(*by, "_id", "n", *gram_hash())
         .agg(F.count(F.lit(1)).alias("c"))
     )
     # per n-gram one row for each distinct count, so the lists below stay short
-    levels = counts.groupBy(*by, "n", "gram", "c").agg(
+    levels = counts.groupBy(*by, "n", "_h1", "_h2", "c").agg(
         F.count(F.lit(1)).alias("m"), F.min("_id").alias("_id")
     )
-    top = levels.groupBy(*by, "n", "gram").agg(
+    top = levels.groupBy(*by, "n", "_h1", "_h2").agg(
         F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("c", "m", "_id")))), 1, 2).alias("_top")
     )
     losses = (

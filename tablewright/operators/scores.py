@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablewright.functions import alignment as al
 from tablewright.functions import text as tx
 from tablewright.operators import overlap as ov
-from tablewright.operators.sized import lookup
+from tablewright.operators.sized import lookup, task_count
 from tablewright.session import durable
 
 GROUP = ov.GROUP
@@ -78,10 +78,9 @@ def pass_at_k(
     )
     long = per_problem.select("*", F.explode(F.array(*[F.lit(k) for k in k_values])).alias("k"))
     n, c, k = F.col("n"), F.col("c"), F.col("k")
-    # prod_{i=n-c+1..n} (1 - k/i) as a sum of logs; zero passes give an empty product
-    steps = F.sequence(n - c + 1, n)
-    log_product = F.aggregate(steps, F.lit(0.0), lambda acc, i: acc + F.log(1 - k / i))
-    estimate = F.when(c == 0, 0.0).when(n - c < k, 1.0).otherwise(1 - F.exp(log_product))
+    # prod_{i<k} (n-c-i) / (n-i): k terms, however many runs pass
+    missed = F.aggregate(F.sequence(F.lit(0), k - 1), F.lit(1.0), lambda acc, i: acc * ((n - c - i) / (n - i)))
+    estimate = F.when(c == 0, 0.0).when(n - c < k, 1.0).otherwise(1 - missed)
     return long.filter(n >= k).groupBy(*by, "k").agg(
         F.avg(estimate).alias("pass_at_k"), F.count(F.lit(1)).alias("problems")
     )
@@ -98,9 +97,9 @@ def perplexity(chunks: DataFrame, loss: str = "loss", size: str = "n_tokens", by
     return sums.withColumn("perplexity", F.coalesce(value, F.lit(float("inf"))))
 
 
-def token_chunks(n_tokens: Column, stride: int = 512, max_length: int = 1024) -> Column:
-    """Sizes of the windows a text of so many tokens is scored in."""
-    n = F.least(n_tokens, F.lit(max_length))
+def token_chunks(n_tokens: Column, stride: int = 512, max_length: int | None = None) -> Column:
+    """Sizes of the windows a text of so many tokens is scored in; ``max_length`` cuts it first."""
+    n = n_tokens if max_length is None else F.least(n_tokens, F.lit(max_length))
     starts = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(stride))
     return F.transform(starts, lambda s: F.least(n - s, F.lit(stride)))
 
@@ -124,35 +123,35 @@ def ngram_lm_fit(df: DataFrame, column: str) -> DataFrame:
 
     A model is read several times, so it is stored.
     """
-    counts = (
-        df.select(F.inline(_bigrams(tx.words(column)))).groupBy("prev", "word").agg(F.count(F.lit(1)).alias("n"))
-    )
+    texts = df.select(column).repartition(task_count(df))
+    counts = texts.select(F.inline(_bigrams(tx.words(column)))).groupBy("prev", "word").agg(F.count(F.lit(1)).alias("n"))
     counts = durable(counts)
-    heads = counts.groupBy("prev").agg(F.sum("n").alias("n_prev"))
-    return counts.join(heads, "prev")
+    heads = counts.groupBy("prev").agg(F.sum("n").alias("n_prev"), F.count(F.lit(1)).alias("_pairs"))
+    return lookup(counts, heads, ["prev"], "inner", weight="_pairs").select("prev", "word", "n", "n_prev")
 
 
 def vocabulary_size(df: DataFrame, column: str) -> int:
-    return df.select(F.explode(tx.words(column)).alias("t")).distinct().count()
+    texts = df.select(column).repartition(task_count(df))
+    return texts.select(F.explode(tx.words(column)).alias("t")).distinct().count()
 
 
 def ngram_lm_score(
     df: DataFrame, column: str, model: DataFrame, vocabulary: int, row_id: str = "row_id", k: float = 1.0
 ) -> DataFrame:
     """Perplexity of every text of two or more words under add-k bigrams."""
+    # texts are dealt out by row, and counting their pairs keeps that layout
     own = (
-        df.select(row_id, F.inline(_bigrams(tx.words(column))))
+        df.select(row_id, column)
+        .repartition(task_count(df), row_id)
+        .select(row_id, F.inline(_bigrams(tx.words(column))))
         .groupBy(row_id, "prev", "word")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    seen = lookup(own, model, ["prev", "word"], weight="n")
+    seen = lookup(own, model.select("prev", "word", "n"), ["prev", "word"], weight="n")
     # a pair the model lacks may still have a known first word
-    heads = model.groupBy("prev").agg(F.max("n_prev").alias("_seen"))
-    unseen = lookup(seen.filter("n_prev IS NULL"), heads, ["prev"], weight="_seen")
-    unseen = unseen.withColumns({"n": F.lit(0).cast("long"), "n_prev": F.col("_seen")})
-    columns = [row_id, "_c", "n", "n_prev"]
-    scored = seen.filter("n_prev IS NOT NULL").select(*columns).unionByName(unseen.select(*columns))
-    p = (F.col("n") + k) / (F.coalesce("n_prev", F.lit(0)) + k * vocabulary)
+    heads = model.groupBy("prev").agg(F.max("n_prev").alias("n_prev"))
+    scored = lookup(seen, heads, ["prev"], weight="n_prev")
+    p = (F.coalesce("n", F.lit(0)) + k) / (F.coalesce("n_prev", F.lit(0)) + k * vocabulary)
     return scored.groupBy(row_id).agg(
         F.exp(-F.sum(F.col("_c") * F.log(p)) / F.sum("_c")).alias("perplexity"), F.sum("_c").alias("n_bigrams")
     )

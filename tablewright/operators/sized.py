@@ -17,10 +17,14 @@ MAX_BYTES = 32 << 20
 
 def small_table(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> pa.Table | None:
     """The rows of a frame that fits the bound, None for one that does not."""
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows or table.nbytes > max_bytes:
-        return None
-    return table
+    head = df.limit(max_rows + 1).persist()
+    try:
+        # the size is known before a row reaches the driver; JSON stands for any type
+        size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long")), F.lit(0))
+        rows, held = head.agg(F.count(F.lit(1)), size).first()
+        return None if rows > max_rows or held > max_bytes else head.toArrow()
+    finally:
+        head.unpersist()
 
 
 def pinned(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
@@ -57,7 +61,7 @@ def lookup(
     if weight is None:
         return df.join(small, on, how)
     salts = F.greatest(F.ceil(F.col(weight) / rows_per_task), F.lit(1))
-    hot = pinned(small.filter(F.col(weight) > rows_per_task).select(*on, salts.alias("_salts")), max_rows)
+    hot = pinned(small.filter(F.col(weight) > rows_per_task).select(*on, salts.alias("_salts")))
     spot = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_salts"))
     salted = df.join(hot, on, "left").withColumn("_salt", F.coalesce(spot, F.lit(0).cast("long"))).drop("_salts")
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
@@ -67,13 +71,3 @@ def lookup(
 def task_count(df: DataFrame) -> int:
     """Tasks to spread row-multiplying work over; a given number is not coalesced."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def spread(table: DataFrame) -> DataFrame:
-    """A stored table, dealt out when its files give fewer splits than there are cores.
-
-    Large tables have more splits than cores and stay as they are. Only for frames that
-    read files and nothing else: counting their splits runs no job.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores // 2 else table

@@ -73,7 +73,7 @@ def encode(
     column: str,
     vocab: DataFrame,
     row_id: str = "row_id",
-    max_length: int = 2048,
+    max_length: int | None = 2048,
     truncation_side: str = "right",
     add_bos: bool = False,
     add_eos: bool = False,
@@ -83,14 +83,15 @@ def encode(
     """``input_ids`` and ``attention_mask`` for each text.
 
     A vocabulary within the bound is shipped to the tasks and looked up per Arrow
-    batch without a shuffle; a larger one is joined.
+    batch without a shuffle; a larger one is joined. ``max_length`` None keeps all tokens.
     """
     unknown = list(specials).index("<unk>")
     extra = int(add_bos) + int(add_eos)
-    room = max_length - extra
-    if room < 1:
-        raise ValueError("max_length leaves no room for tokens")
-    tokens = _truncate(tx.words(column), room, truncation_side)
+    tokens = tx.words(column)
+    if max_length is not None:
+        if max_length - extra < 1:
+            raise ValueError("max_length leaves no room for tokens")
+        tokens = _truncate(tokens, max_length - extra, truncation_side)
     kept = [c for c in df.columns if c != column]
     table = small_table(vocab.select("token", "token_id"), max_vocab_rows, 256 << 20)
     if table is not None:

@@ -58,15 +58,15 @@ def read_csv(spark, sf):
     return rd.read_csv(spark, path, schema, text_column="html")
 
 
-@query("read_parquet", "SELECT doc_id, lang, source, length(text) AS n_text, 'train' AS split FROM documents")
+@query("read_parquet", "SELECT doc_id, lang, source, text, 'train' AS split FROM documents")
 def read_parquet(spark, sf):
     found = rd.read_parquet(spark, {"train": f"{sf}/documents.parquet", "test": f"{sf}/missing.parquet"})
-    return found.select("doc_id", "lang", "source", F.length("text").cast("long").alias("n_text"), "split")
+    return found.select("doc_id", "lang", "source", "text", "split")
 
 
-def _catalog(sf: str) -> list[rd.Dataset]:
+def _catalog(sf: str, max_samples: int | None = 100) -> list[rd.Dataset]:
     return [
-        rd.Dataset("docs", f"{sf}/documents.parquet", mapping={"row_id": "doc_id", "text": "text"}, max_samples=100),
+        rd.Dataset("docs", f"{sf}/documents.parquet", mapping={"row_id": "doc_id", "text": "text"}, max_samples=max_samples),
         rd.Dataset("bench", f"{sf}/benchmark.parquet", mapping={"row_id": "item_id", "input": ""}, is_eval=True),
     ]
 
@@ -246,9 +246,13 @@ def language_distribution(spark, sf):
     return st.language_distribution(table(spark, sf, "documents"), "text", by=["lang"])
 
 
-@query("is_eval_filter", f"WITH {NAMED} SELECT dataset, row_id FROM named WHERE dataset = 'docs'")
+@query(
+    "is_eval_filter",
+    """WITH named AS (SELECT 'docs' AS dataset, doc_id AS row_id FROM documents UNION ALL SELECT 'bench', item_id FROM benchmark)
+    SELECT dataset, row_id FROM named WHERE dataset = 'docs'""",
+)
 def is_eval_filter(spark, sf):
-    catalog = _catalog(sf)
+    catalog = _catalog(sf, None)
     rows = rd.read_named(spark, catalog)
     return va.is_eval_filter(rows, rd.catalog_table(spark, catalog)).select("dataset", "row_id")
 
@@ -489,7 +493,7 @@ def _vocab(spark, sf):
 
 def _encoded(spark, sf, **options):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return tk.encode(docs, "text", _vocab(spark, sf), "doc_id", **{"max_length": 1_000_000, **options})
+    return tk.encode(docs, "text", _vocab(spark, sf), "doc_id", **{"max_length": None, **options})
 
 
 @query(
@@ -512,12 +516,12 @@ def encode(spark, sf):
 
 
 def _padded(spark, sf):
-    docs = tk.assign_batches(_encoded(spark, sf, max_length=256), 16, "doc_id")
+    docs = tk.assign_batches(_encoded(spark, sf), 16, "doc_id")
     return tk.pad(docs)
 
 
 PADDED = f"""{ENCODED}, batched AS (
-  SELECT doc_id, ids[1:256] AS ids, (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch FROM encoded), padded AS (
+  SELECT doc_id, ids, (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch FROM encoded), padded AS (
   SELECT doc_id, batch, ids, CAST(ceil(max(len(ids)) OVER (PARTITION BY batch) / 8.0) * 8 AS BIGINT) AS width FROM batched)"""
 
 
@@ -683,11 +687,11 @@ def top_k(spark, sf):
 # --- splits and mixing -------------------------------------------------------
 
 
-def _split_sql(order: str) -> str:
+def _split_sql(order: str, train: float = 0.8, rest: float = 0.1) -> str:
     return f"""SELECT row_id, CASE WHEN rn <= c1 THEN 'train' WHEN rn <= c1 + c2 THEN 'validation' ELSE 'test' END AS split FROM (
       SELECT doc_id AS row_id, row_number() OVER (ORDER BY {order}) AS rn,
-        greatest(CAST(floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS BIGINT), 1) AS c1,
-        greatest(CAST(floor(count(*) OVER () * CAST(0.1 AS DOUBLE)) AS BIGINT), 1) AS c2 FROM documents)
+        greatest(CAST(floor(count(*) OVER () * CAST({train} AS DOUBLE)) AS BIGINT), 1) AS c1,
+        greatest(CAST(floor(count(*) OVER () * CAST({rest} AS DOUBLE)) AS BIGINT), 1) AS c2 FROM documents)
     WHERE rn <= c1 + c2 + c2"""
 
 
@@ -716,10 +720,11 @@ def split_stratified(spark, sf):
     return sp.split_stratified(_ids(spark, sf), "lang", RATIOS).select("row_id", "lang", "split")
 
 
-@query("validate_ratios", f"SELECT row_id, split FROM ({_split_sql('doc_id')}) WHERE split <> 'train'")
+@query("validate_ratios", _split_sql(sql_key(42, "doc_id") + ", doc_id", 0.5, 0.25))
 def validate_ratios(spark, sf):
-    sp.validate_ratios(RATIOS)
-    return sp.split_sequential(_ids(spark, sf), RATIOS).filter("split <> 'train'").select("row_id", "split")
+    ratios = {"train": 0.5, "validation": 0.25, "test": 0.25}
+    sp.validate_ratios(ratios)
+    return sp.split_random(_ids(spark, sf), ratios).select("row_id", "split")
 
 
 @query(

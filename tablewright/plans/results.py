@@ -245,16 +245,15 @@ REFUSAL = rp.REFUSAL.replace("'", "''")
 
 @query(
     "failure_analysis",
-    f"""WITH short AS (SELECT doc_id, text[1:n_chars % 40] AS text, lang FROM documents),
-    graded AS (SELECT a.doc_id, a.text, b.ratio AS repeated, CAST(len({sql_words('a.text')}) AS DOUBLE) / 10 AS score FROM short a
-      JOIN ({sql_repetition('short', 'text', 'doc_id')}) b USING (doc_id)),
+    f"""WITH graded AS (SELECT a.doc_id, a.text, b.ratio AS repeated, CAST(len({sql_words('a.text')}) AS DOUBLE) / 10 AS score FROM documents a
+      JOIN ({sql_repetition('documents', 'text', 'doc_id')}) b USING (doc_id)),
     classed AS (SELECT doc_id, score, CASE WHEN NOT regexp_matches(text, '[^{SPACE}]') THEN 'empty' WHEN regexp_matches(text, '{REFUSAL}') THEN 'refusal'
       WHEN len({sql_words('text')}) < 3 THEN 'too_short' WHEN repeated > 0.5 THEN 'repeated' WHEN score < 0.4 THEN 'low_score' END AS error_class FROM graded)
     SELECT doc_id, score, error_class FROM classed WHERE error_class IS NOT NULL ORDER BY score, doc_id LIMIT 50""",
     doubles=["score"],
 )
 def failure_analysis(spark, sf):
-    answers = table(spark, sf, "documents").select("doc_id", F.col("text").substr(F.lit(1), (F.col("n_chars") % 40).cast("int")).alias("prediction"))
+    answers = table(spark, sf, "documents").select("doc_id", F.col("text").alias("prediction"))
     graded = answers.withColumn("score", tx.word_count("prediction") / 10)
     return rp.failure_analysis(graded, "score", "doc_id", low=0.4).drop("prediction")
 

@@ -77,7 +77,7 @@ def rouge_n_stemmed(spark, sf):
 
 @query("stem_tokens")
 def stem_tokens(spark, sf):
-    docs = table(spark, sf, "documents").filter("lang = 'en'")
+    docs = table(spark, sf, "documents")
     return docs.select("doc_id", F.array_join(al.stem_words(tx.alnum_words("text")), " ").alias("stems"))
 
 
@@ -223,19 +223,20 @@ def _answer(c: str) -> str:
 
 @query(
     "exact_match",
-    f"""WITH turns AS (SELECT source, text, doc_id FROM documents),
-    answers AS (SELECT a.source AS dataset, a.lang AS model, split_part(a.text, ' ', 1) AS prediction, split_part(b.text, ' ', 1) AS reference
-      FROM documents a JOIN turns b ON b.doc_id = a.doc_id + 1)
+    f"""WITH words AS (SELECT a.source AS dataset, a.lang AS model, string_split(a.text, ' ') AS p, string_split(b.text, ' ') AS r
+      FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1),
+    answers AS (SELECT dataset, model, unnest(p[1:least(len(p), len(r))]) AS prediction, unnest(r[1:least(len(p), len(r))]) AS reference FROM words)
     SELECT dataset, model, avg(CASE WHEN {_answer('prediction')} = {_answer('reference')} THEN 1.0 ELSE 0.0 END) AS exact_match, count(*) AS n
     FROM answers GROUP BY ALL""",
     doubles=["exact_match"],
 )
 def exact_match(spark, sf):
+    """Each word of a document against the word at its place in the next document."""
     docs = table(spark, sf, "documents")
-    following = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.split_part("text", F.lit(" "), F.lit(1)).alias("reference"))
-    answers = docs.select(
-        "doc_id", F.col("source").alias("dataset"), F.col("lang").alias("model"), F.split_part("text", F.lit(" "), F.lit(1)).alias("prediction")
-    ).join(following, "doc_id")
+    following = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.split("text", " ").alias("r"))
+    both = docs.select("doc_id", F.col("source").alias("dataset"), F.col("lang").alias("model"), F.split("text", " ").alias("p")).join(following, "doc_id")
+    words = F.zip_with("p", "r", lambda p, r: F.struct(p.alias("prediction"), r.alias("reference")))
+    answers = both.select("dataset", "model", F.inline(words)).filter("prediction IS NOT NULL AND reference IS NOT NULL")
     return ov.exact_match(answers)
 
 

@@ -121,8 +121,8 @@ def select_dataset(df: DataFrame, name: str, column: str = "dataset") -> DataFra
     """One dataset; an unknown name is an error that lists the known ones."""
     chosen = df.filter(F.col(column) == name)
     if chosen.select(column).isEmpty():
-        known = sorted(r[0] for r in df.select(column).distinct().limit(100).collect())
-        raise ValueError(f"Dataset {name!r} not found. Available: {known}")
+        known = sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+        raise ValueError(f"no rows of dataset {name!r}; there are {known}")
     return chosen
 
 

@@ -114,8 +114,11 @@ def test_catalog_and_selection(spark, sf):
     assert rd.read_named(spark, [docs]).count() == 5
     with pytest.raises(ValueError, match="Available: \\['docs'\\]"):
         rd.read_named(spark, [docs], ["other"])
-    with pytest.raises(ValueError, match="Available"):
+    with pytest.raises(ValueError, match="no rows of dataset 'other'"):
         rd.select_dataset(rd.read_named(spark, [docs]), "other")
+    many = spark.range(300).select(F.format_string("set%03d", "id").alias("dataset"))
+    with pytest.raises(ValueError, match="'set000'.*'set299'"):
+        rd.select_dataset(many, "other")
 
 
 @pytest.mark.parametrize("split", ["random", "sequential", "stratified", "hash"])

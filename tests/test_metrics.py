@@ -159,7 +159,8 @@ def test_perplexity_and_pass_at_k(spark):
     assert sc.perplexity(chunks).first().perplexity == pytest.approx(math.exp(712 / 612))
     assert sc.perplexity(chunks.filter("n_tokens < 2")).first().perplexity == math.inf
     windows = spark.range(1).select(*[sc.token_chunks(F.lit(n)) for n in (0, 1, 512, 513, 2000)]).first()
-    assert list(windows) == [[0], [1], [512], [512, 1], [512, 512]]
+    assert list(windows) == [[0], [1], [512], [512, 1], [512, 512, 512, 464]]
+    assert spark.range(1).select(sc.token_chunks(F.lit(2000), max_length=1024)).first()[0] == [512, 512]
     tries = spark.createDataFrame([(1, i < 3) for i in range(10)] + [(2, False)] * 10, "p int, ok boolean")
     got = {r.k: r.pass_at_k for r in sc.pass_at_k(tries, [1, 5, 20], ["p"], "ok").collect()}
     assert set(got) == {1, 5} and got[1] == pytest.approx(0.15)

@@ -287,3 +287,30 @@ def test_rows_with_a_null_group_are_cut_like_any_other(spark):
     assert equal.count() == 100 and equal.filter("label IS NULL").count() == 25
     positions = [r["position"] for r in mx.interleave(rows, source="label").orderBy("position").collect()]
     assert positions == list(range(100))
+
+
+def test_size_bounds_are_known_before_rows_are_fetched(spark):
+    from tablewright.operators.sized import small_table
+
+    wide = spark.range(50).select(F.repeat(F.lit("x"), 10_000).alias("t"))
+    assert small_table(wide, max_bytes=100_000) is None
+    assert small_table(wide, max_rows=49) is None
+    assert small_table(wide, max_rows=50).num_rows == 50
+
+
+def test_several_hot_keys_are_salted(spark):
+    from tablewright.operators.sized import lookup
+
+    rows = spark.range(3000).select("id", F.when(F.col("id") < 1200, "a").when(F.col("id") < 2400, "b").otherwise(F.col("id").cast("string")).alias("k"))
+    sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    joined = lookup(rows, sizes, ["k"], weight="n", max_rows=1, rows_per_task=100)
+    assert joined.count() == 3000
+    assert joined.agg(F.sum("n")).first()[0] == 2 * 1200**2 + 600
+
+
+def test_encoding_without_a_limit_keeps_every_token(spark):
+    text = " ".join(f"w{i % 7}" for i in range(5000))
+    rows = spark.createDataFrame([(1, text)], "row_id long, text string")
+    vocab = tk.build_vocab(rows, "text", 100)
+    assert len(tk.encode(rows, "text", vocab, max_length=None).first()["input_ids"]) == 5000
+    assert len(tk.encode(rows, "text", vocab).first()["input_ids"]) == 2048
