@@ -30,17 +30,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.tables import pieces, shuffle_width, stored
+from tablewright.llm.textkit import slices, sums
 from tablewright.session import fresh_folder
 
 END_ID = 0
 BLOCK_IDS = 1 << 20
 PART_BYTES = 16 << 20
 MEMORY = 1_000_000
+SLICE_BYTES = 8 << 20
+TOGETHER = 10_000
 
 LENGTHS = np.array([[1 + (c >> 2 * i & 3) for i in range(4)] for c in range(256)], np.int64)
 MASKS = (np.arange(4)[None, None, :] < LENGTHS[:, :, None]).reshape(256, 16)
@@ -87,22 +91,67 @@ class Pieces(dict):
     def ids(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def usual(self, text: str | None) -> list[str] | None:
-        """The pieces of a text, each led by its space, None for a text to be taken whole."""
-        flat = (text or " ").replace("\n", " ")
-        if "  " in flat or flat[0] == " " or flat[-1] == " " or not flat.isprintable() or any(s in text for s in self.special):
-            return None
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    def learn(self, names: list[str]) -> None:
+        """Ids of the pieces not yet known, which go to the tokenizer together; None for a piece
+        that only occurs in texts to be taken whole."""
+        new = [x for x in names if x not in self]
+        if len(self) + len(new) > MEMORY:
+            self.clear()
+            new = names
+        good = [x for x in new if x == "\n" or x.strip(" ") and x.isprintable()]
+        self.update(dict.fromkeys(new))
+        if "\n" in good:
+            good.remove("\n")
+            self["\n"] = self.ids("\n")
+        for at in range(0, len(good), TOGETHER):
+            some = good[at : at + TOGETHER]
+            self.update(zip(some, self.apart(some), strict=True))
+
+    def apart(self, names: list[str]) -> list[bytes]:
+        """Ids of each piece. All are one text, a piece a line: the tokenizer cuts there too, and
+        the id of the line end, which no piece holds, separates them."""
+        mark = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(names)], add_special_tokens=False)[0].ids, self.code)
+        at = np.flatnonzero(ids == mark[0]) if len(mark) == 1 else []
+        if len(at) != len(names) - 1:  # a tokenizer that treats line ends in another way
+            return [self.ids(x) for x in names]
+        blob, width = ids.tobytes(), ids.itemsize
+        at = (at * width).tolist()
+        return [blob[a:b] for a, b in zip([0, *(x + width for x in at)], [*at, len(blob)], strict=True)]
+
+    def encoded(self, column: pa.Array) -> pa.Array:
+        """Ids of each text as bytes. Texts are cut, and ids put together, for all texts at once."""
+        column = pc.fill_null(column, "")
+        whole = pc.match_substring(column, "\0").to_numpy(zero_copy_only=False)
+        for name in self.special:
+            whole = whole | pc.match_substring(column, name).to_numpy(zero_copy_only=False)
+        marked = pc.replace_substring(pc.replace_substring(column, " ", "\0 "), "\n", "\0\n\0")
+        cut = pc.split_pattern(marked, "\0")
+        coded = cut.flatten().dictionary_encode()
+        ends = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        codes = coded.indices.to_numpy()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn(names)
+        known = [self[x] for x in names]
+        unusual = np.array([x is None for x in known], bool)
+        whole = whole | (sums(unusual[codes], ends) > 0)
+        flat = np.frombuffer(b"".join(x for x in known if x is not None), self.code)
+        sizes = np.array([len(x or b"") for x in known], np.int64) // flat.itemsize
+        counts = sizes[codes]
+        counts[np.repeat(whole, np.diff(ends))] = 0
+        shift = (np.cumsum(sizes) - sizes)[codes] - (np.cumsum(counts) - counts)
+        ids = flat[np.repeat(shift, counts) + np.arange(counts.sum())]
+        offsets = np.concatenate(([0], np.cumsum(sums(counts, ends)))) * flat.itemsize
+        found = pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]).cast(pa.binary())
+        if not whole.any():
+            return found
+        ids_of_all = found.to_pylist()
+        for i in np.flatnonzero(whole).tolist():
+            ids_of_all[i] = self.ids(column[i].as_py())
+        return pa.array(ids_of_all, pa.binary())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; the pieces not yet known go to the tokenizer together."""
-        cut = [self.usual(t) for t in texts]
-        if len(self) >= MEMORY:
-            self.clear()
-        new = list(set().union(*(c for c in cut if c is not None)).difference(self))
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[piece] = array(self.code, found.ids).tobytes()
-        return [self.ids(t or "") if c is None else b"".join(map(self.__getitem__, c)) for t, c in zip(texts, cut, strict=True)]
+        return self.encoded(pa.array(texts, pa.string())).to_pylist()
 
 
 _PIECES: dict[str, Pieces] = {}
@@ -117,10 +166,9 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
         pieces = _PIECES[path]
         width = array(pieces.code).itemsize
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                piece = batch.slice(at, 1000)
-                ids = pieces.encode(piece.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], ["doc_id", "width", "ids"])
+            for piece in slices(batch, "text", SLICE_BYTES):
+                ids = pieces.encoded(piece.column("text"))
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array([width] * len(ids), pa.int32()), ids], ["doc_id", "width", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, width int, ids binary")
 
