@@ -46,6 +46,8 @@ SIGN_BYTES = 8 << 20
 BLOCK_NODES = 64
 BLOCK_BYTES = 256 << 10
 TABLE_CELLS = 1 << 24
+EDGES_EACH = 1_000_000
+LEAST_PARTS = 8
 
 
 def shingles(column: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -252,16 +254,20 @@ def connected(links: DataFrame) -> DataFrame:
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
+    def with_least(df: DataFrame, rows: int) -> DataFrame:
+        """df with m, the smallest b of each a; two numbers for each a, broadcast if they are few."""
+        least = df.groupBy("a").agg(F.min("b").alias("m"))
+        return df.join(F.broadcast(least) if rows <= BROADCAST_ROWS else least, "a")
+
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
     seen = state(edges)
     while True:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(least, "a")
+        rows = 2 * seen[0]
+        both = with_least(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), rows)
+        large = both.filter("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b")).filter("a <> b")
+        joined = with_least(large, rows)
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(joined.select("a", F.col("m").alias("b")))
-        edges = stored(small.filter("a <> b").distinct(), "links")
+        edges = stored(small.filter("a <> b").distinct().coalesce(max(LEAST_PARTS, -(-rows // EDGES_EACH))), "links")
         now = state(edges)
         if now == seen:
             break
@@ -290,7 +296,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, rows: int = ROWS, b
     named = members.select("key", "node").join(label, "node", "left").withColumn("class", F.coalesce("class", "node"))
     more = stored(across(named, texts, similarity), "similar")
     if not more.isEmpty():
-        label = connected(links.union(more))
+        stars = label.select(F.col("node").alias("a"), F.col("class").alias("b"))
+        label = connected(stars.union(more))
     return marks.select("doc_id", "node"), label
 
 

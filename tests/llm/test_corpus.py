@@ -130,6 +130,43 @@ def test_near_duplicates(docs, nothing):
     assert near_dups.near_duplicates(nothing).count() == 0
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 200_000])
+def test_connected_against_union_find(spark, monkeypatch, broadcast_rows):
+    shared_folder(spark)
+    monkeypatch.setattr(near_dups, "BROADCAST_ROWS", broadcast_rows)
+    rng = np.random.default_rng(5)
+    links = [(i, i + 1) for i in range(100, 115)] + [(500, int(x)) for x in rng.integers(501, 560, 80)] + [(7, 7)]
+    links += [(int(a), int(b)) for a, b in rng.integers(1000, 1060, (40, 2))]
+    root = {x: x for pair in links for x in pair}
+    for _ in root:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    found = near_dups.connected(spark.createDataFrame(links, "a long, b long"))
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert listed(found, "node", "class") == sorted(((x, root[x]) for x in linked), key=str)
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    import pyarrow as pa
+
+    shared_folder(spark)
+    made = []
+    for seed in range(12):
+        words = prose(seed, 150).split()
+        for k in range(6):  # copies that drift apart: some are linked only by way of others
+            made.append(" ".join(words))
+            words[20 * k : 20 * k + 3] = [f"x{seed}"] * 3
+    rows, items, counts = near_dups.shingles(pa.array(made))
+    sets = [tuple(x[rows == i][np.argsort(items[rows == i])] for x in (items, counts)) for i in range(len(made))]
+    pairs = [(i, j) for j in range(len(made)) for i in range(j) if near_dups.probability_jaccard(sets[i], sets[j]) >= near_dups.SIMILARITY]
+    first = list(range(len(made)))
+    for _ in made:
+        for i, j in pairs:
+            first[i] = first[j] = min(first[i], first[j])
+    found = near_dups.near_duplicates(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string"))
+    assert pairs and {r["doc_id"]: r["class_id"] for r in found.collect()} == dict(enumerate(first))
+
+
 def test_signatures_estimate_the_exact_similarity():
     import pyarrow as pa
 
