@@ -1,10 +1,11 @@
 """Toxicity of texts, read through disguises.
 
-1. A character language model: trigrams of letters, counted over all documents.
+1. A character language model: runs of ``ORDER`` letters, counted over all documents.
 2. Disguised spellings (digits and signs for letters, letters set apart, letters repeated)
    span a lattice of the characters that may have been meant. The Viterbi path under a
-   channel model and the language model restores the word. Plain words have one path and
-   are taken as they are.
+   channel model and the language model restores the word. What stands between letters set
+   apart is read as nothing or as a word boundary, so the path may hold several words.
+   Plain words have one path and are taken as they are.
 3. The restored text is scored by a noisy-or over its words and their beginnings, so that
    inflected and compound forms count: each telling one that occurs makes the text toxic
    with the share of toxic rows among the rows that have it, whatever the others do. The
@@ -22,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +53,11 @@ SIGNS = {
 SIGN_BYTES = byte_class([(ord(c), ord(c)) for c in SIGNS])
 APART = byte_class([(ord(c), ord(c)) for c in " .-_*"])
 
+ORDER = 4
+LEAST_CHANCE = 1e-6
+BOUNDARY = 0.5
 KINDS = 28  # no letter, a to z, any other letter
+PAST = KINDS ** (ORDER - 1)
 KIND = np.zeros(256, np.int64)
 KIND[0x61:0x7B] = np.arange(1, 27)
 KIND[0x41:0x5B] = np.arange(1, 27)
@@ -67,17 +73,18 @@ EDGE = " .,;:?\"'()[]"
 
 
 def letter_counts(docs: DataFrame) -> DataFrame:
-    """How often each trigram of letter kinds occurs in all texts: at most KINDS^3 rows."""
+    """How often each run of ORDER letter kinds occurs in all texts: at most KINDS^ORDER rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(KINDS**3, np.int64)
+        total = np.zeros(KINDS**ORDER, np.int64)
         for batch in batches:
             for piece in slices(batch, "text"):
                 data, offs = buffer_of(piece.column("text"))
-                kinds = np.zeros(len(data) + 2 * len(offs), np.int64)
-                at = np.arange(len(data)) + 2 * np.repeat(np.arange(1, len(offs)), np.diff(offs))
+                kinds = np.zeros(len(data) + (ORDER - 1) * len(offs), np.int64)
+                at = np.arange(len(data)) + (ORDER - 1) * np.repeat(np.arange(1, len(offs)), np.diff(offs))
                 kinds[at] = KIND[data]
-                total += np.bincount(kinds[:-2] * KINDS**2 + kinds[1:-1] * KINDS + kinds[2:], minlength=KINDS**3)
+                code = sum(kinds[i : len(kinds) - ORDER + 1 + i] * KINDS ** (ORDER - 1 - i) for i in range(ORDER))
+                total += np.bincount(code, minlength=KINDS**ORDER)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen])], ["code", "n"])
 
@@ -85,67 +92,107 @@ def letter_counts(docs: DataFrame) -> DataFrame:
 
 
 def language_model(docs: DataFrame) -> np.ndarray:
-    """Log probability of a letter kind after two others."""
-    counts = np.zeros(KINDS**3)
-    for row in letter_counts(docs).collect():  # bounded by the alphabet
-        counts[row["code"]] = row["n"]
-    three = counts.reshape(KINDS, KINDS, KINDS)
-    two, one = three.sum(axis=0), three.sum(axis=(0, 1))
-    share = lambda x: x / np.maximum(x.sum(axis=-1, keepdims=True), 1)
-    return np.log(0.85 * share(three) + 0.12 * share(two)[None] + 0.02 * share(one)[None, None] + 0.01 / KINDS)
-
-
-def readings(sign: str, times: int) -> list[tuple[str, float]]:
-    """What a run of one character may have been meant as, with the channel's log probability."""
+    """Log probability of a letter kind after ORDER - 1 others."""
+    counts = np.zeros(KINDS**ORDER)
+    seen = letter_counts(docs).toArrow()  # bounded by the alphabet
+    counts[seen.column("code").to_numpy()] = seen.column("n").to_numpy()
+    counts = counts.reshape((KINDS,) * ORDER)
+    chance = np.full(KINDS, 1 / KINDS)
+    for known in range(ORDER):  # the more other kinds follow the known ones, the less they tell
+        here = counts.sum(axis=tuple(range(ORDER - 1 - known)))
+        total, other = here.sum(axis=-1, keepdims=True), (here > 0).sum(axis=-1, keepdims=True)
+        chance = np.where(total > 0, (here + other * chance) / np.maximum(total + other, 1), chance)
+    return np.log(np.maximum(chance, LEAST_CHANCE))
+
+
+@cache
+def readings(sign: str, times: int, apart: bool = False) -> list[tuple[str, tuple[int, ...], float]]:
+    """What a run of one character may have been meant as: text, its letter kinds and the
+    channel's log probability. Set apart, a sign may also stand for itself."""
+    kinds = lambda text: tuple(ord(c) - 96 if "a" <= c <= "z" else 27 for c in text)
     if sign.isalpha():
-        if times == 1:
-            return [(sign, np.log(0.97))]
-        once = 0.1 if times == 2 else 0.5
-        return [(sign, np.log(once)), (sign * 2, np.log(1 - once))]
-    meant = SIGNS.get(sign, "")
-    out = [("", np.log(0.002 if meant else 0.5))]
-    for letter in meant:
-        out.append((letter, np.log(0.6 / len(meant))))
+        once = {1: 0.97, 2: 0.1}.get(times, 0.5)
+        found = [(sign, once)] if times == 1 else [(sign, once), (sign * 2, 1 - once)]
+    elif sign in SIGNS:
+        meant = SIGNS[sign]
+        found = [("", 0.002), *[(c, 0.6 / len(meant)) for c in meant]]
         if times > 1:
-            out.append((letter * 2, np.log(0.3 / len(meant))))
-    return out
-
-
-def restored(token: str, model: np.ndarray) -> str:
-    """The likeliest plain spelling of a disguised token."""
-    kind = lambda c: ord(c) - 96 if "a" <= c <= "z" else 27
-    paths = {(0, 0): (0.0, "")}
-    for run in re.finditer(r"(.)\1*", token, re.DOTALL):
-        options = readings(run[1], min(len(run[0]), 3))
-        onward: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in paths.items():
-            for letters, cost in options:
-                p, x, y = score + cost, a, b
-                for c in letters:
-                    k = kind(c)
-                    p, x, y = p + model[x, y, k], y, k
-                if p > onward.get((x, y), (-np.inf, ""))[0]:
-                    onward[x, y] = (p, text + letters)
-        paths = onward
-    return max((p + model[a, b, 0], text) for (a, b), (p, text) in paths.items())[1]
+            found += [(c * 2, 0.3 / len(meant)) for c in meant]
+    else:
+        return between(sign)
+    out = [(text, kinds(text), float(np.log(p))) for text, p in found]
+    return [*out, (f" {sign} ", (0,), float(np.log(0.3)))] if apart and sign in SIGNS else out
+
+
+@cache
+def between(separator: str) -> list[tuple[str, tuple[int, ...], float]]:
+    """The readings of a separator: nothing, a word boundary, or a letter if it is a sign."""
+    if not separator:
+        return [("", (), 0.0)]
+    signs = [x for x in readings(separator, 1) if x[0]] if separator in SIGNS else []
+    return [("", (), float(np.log(1 - BOUNDARY))), (" ", (0,), float(np.log(BOUNDARY))), *signs]
+
+
+def restored(token: str, chance: list[float], apart: bool = False) -> str:
+    """The likeliest plain spelling of a disguised token; ``apart``: every second character is a
+    separator, and the spelling may be several words."""
+    if apart:
+        units = list(zip(["", *token[1::2]], token[::2], [1] * (len(token) + 1), strict=False))
+    else:
+        units = [("", run[1], min(len(run[0]), 3)) for run in re.finditer(r"(.)\1*", token, re.DOTALL)]
+    # by the last kinds as one number and how often the last character came, which is not read
+    # yet: score and what was read, as a chain from the end
+    paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    last = ""
+    for gap, sign, times in [*units, ("", "", 0)]:
+        onward: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        gaps = between(gap)
+        for (before, n), (score, chain) in paths.items():
+            if gap and sign == last:  # one run goes on
+                at, p = (before, min(n + 1, 3)), score + gaps[0][2]
+                if at not in onward or p > onward[at][0]:
+                    onward[at] = (p, chain)
+            for text, kinds, cost in readings(last, n, apart) if last else between(""):
+                q, x = score + cost, before
+                for k in kinds:
+                    q, x = q + chance[x * KINDS + k], (x * KINDS + k) % PAST
+                read = (chain, text) if text else chain
+                for space, more, price in gaps:
+                    if sign == last and not space:
+                        continue
+                    p, y = q + price, x
+                    for k in more:
+                        p, y = p + chance[y * KINDS + k], (y * KINDS + k) % PAST
+                    at = (y, times)
+                    if at not in onward or p > onward[at][0]:
+                        onward[at] = (p, (read, space) if space else read)
+        paths, last = onward, sign
+    # a word ends here, unless a sign that stands for itself has ended it
+    closed = lambda x: 0.0 if apart and x % KINDS == 0 else chance[x * KINDS]
+    chain = max(((p + closed(x), chain) for (x, _), (p, chain) in paths.items()), key=lambda end: end[0])[1]
+    out = []
+    while chain:
+        chain, text = chain
+        out.append(text)
+    return "".join(reversed(out))
 
 
 class Restorer:
     """Plain spelling of whole texts; keeps the spellings it has worked out, up to a bound."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.known = model, {}
+        self.model, self.known = model.ravel().tolist(), {}
 
-    def word(self, token: str) -> str:
-        found = self.known.get(token)
+    def word(self, token: str, apart: bool = False) -> str:
+        found = self.known.get((token, apart))
         if found is None:
             if len(self.known) >= SPELLINGS:
                 self.known.clear()
-            found = self.known[token] = restored(token, self.model) if len(token) <= 64 else token
+            found = self.known[token, apart] = restored(token, self.model, apart) if len(token) <= 64 or apart else token
         return found
 
     def text(self, text: str) -> str:
-        text = SPACED.sub(lambda m: " " + self.word(re.sub(r"[ .\-_]", "", m[0])) + " ", text.lower())
+        text = SPACED.sub(lambda m: " " + self.word(m[0], apart=True) + " ", text.lower())
         out = []
         for token in text.split():
             core = token.strip(EDGE)

@@ -285,6 +285,29 @@ def test_toxicity(spark, nothing):
     assert toxicity.scored(nothing, labels).count() == 0
 
 
+def spoken(spark):
+    """400 texts of common words, each fourth with a telling one, and their labels."""
+    words = "you are the a my of and people think that this very good people never read about time with some great plan".split()
+    rng = np.random.default_rng(5)
+    some = lambda n: " ".join(words[k] for k in rng.integers(0, len(words), n))
+    rows = [(i, f"{some(40)} {('moron', 'stupid', 'idiot')[i // 4 % 3]} {some(20)}" if i % 4 == 0 else some(60), int(i % 4 == 0)) for i in range(400)]
+    marked = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return marked.select("doc_id", "text"), marked.select("doc_id", "toxic")
+
+
+def test_words_set_apart_keep_their_boundaries(spark):
+    shared_folder(spark)
+    docs, labels = spoken(spark)
+    told = ["you are a m o r o n", "you are 5 s t u p i d", "that s t u p i d m o r o n", "i d i o t a y", "s*t*u*p*i*d", "m o r o n !", "s t u u u p 1 d"]
+    fine = ["you are a p l a n", "p e o p l e r e a d", "a b c d e"]
+    more = spark.createDataFrame(list(enumerate(told + fine, 1000)), "doc_id long, text string")
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.scored(docs.union(more), labels).filter("doc_id >= 1000").collect()}
+    assert [found[1000 + i] for i in range(len(told + fine))] == [1] * len(told) + [0] * len(fine)
+    read = toxicity.Restorer(toxicity.language_model(docs)).text
+    assert re.findall("[a-z]+", read("s t u p i d m o r o n")) == ["stupid", "moron"]
+    assert re.findall("[a-z]+", read("a m o r o n")) == ["a", "moron"]
+
+
 def test_toxicity_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
