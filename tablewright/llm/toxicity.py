@@ -40,6 +40,7 @@ COVER = 3
 FOLDS = 5
 PREFIXES = (4, 5, 6, 7)
 SPELLINGS = 200_000
+KEPT_SIZE = 64
 
 LETTERS = byte_class([(0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)])
 BASIC = byte_class([(0x41, 0x5A), (0x61, 0x7A)])
@@ -66,7 +67,7 @@ KIND[0x80:] = 27
 _SIGN = "[" + re.escape("".join(SIGNS)) + "]"
 _ONE = "[a-z" + re.escape("".join(SIGNS)) + "]"
 #: letters or signs set apart, at least three
-SPACED = re.compile(rf"(?<!\S){_ONE}(?:([ .\-_*]){_ONE})(?:\1{_ONE}){{1,40}}(?![^\s.,;:!?])")
+SPACED = re.compile(rf"(?<!\S){_ONE}(?:([ .\-_*]){_ONE})(?:\1{_ONE})+(?![^\s.,;:!?])")
 #: what makes a word look disguised
 ODD = re.compile(rf"[a-z]{_SIGN}{{1,3}}[a-z]|^{_SIGN}{{1,2}}[a-z]{{2}}|[a-z]{{2}}[0-9@$]{{1,2}}$|([a-z])\1\1")
 EDGE = " .,;:?\"'()[]"
@@ -178,7 +179,7 @@ def restored(token: str, chance: list[float], apart: bool = False) -> str:
 
 
 class Restorer:
-    """Plain spelling of whole texts; keeps the spellings it has worked out, up to a bound."""
+    """Plain spelling of whole texts; keeps the spellings of short tokens, up to a bound."""
 
     def __init__(self, model: np.ndarray):
         self.model, self.known = model.ravel().tolist(), {}
@@ -186,9 +187,11 @@ class Restorer:
     def word(self, token: str, apart: bool = False) -> str:
         found = self.known.get((token, apart))
         if found is None:
-            if len(self.known) >= SPELLINGS:
-                self.known.clear()
-            found = self.known[token, apart] = restored(token, self.model, apart) if len(token) <= 64 or apart else token
+            found = restored(token, self.model, apart)
+            if len(token) <= KEPT_SIZE:
+                if len(self.known) >= SPELLINGS:
+                    self.known.clear()
+                self.known[token, apart] = found
         return found
 
     def text(self, text: str) -> str:

@@ -308,6 +308,18 @@ def test_words_set_apart_keep_their_boundaries(spark):
     assert re.findall("[a-z]+", read("a m o r o n")) == ["a", "moron"]
 
 
+def test_long_disguises_are_restored(spark):
+    docs, labels = spoken(spark)
+    long = " ".join("peoplereadaboutthetimewithsomegreatplanandthisverygoodmoron")
+    more = spark.createDataFrame([(1000, "you are stu" + "u" * 70 + "pid"), (1001, long), (1002, "s" * 200_000 + "tupid")], "doc_id long, text string")
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.scored(docs.union(more), labels).filter("doc_id >= 1000").collect()}
+    assert found == {1000: 1, 1001: 1, 1002: 1}
+    read = toxicity.Restorer(toxicity.language_model(docs))
+    assert read.text("stu" + "u" * 70 + "pid") == "stupid" and not read.known
+    spelt = read.text("m0r" * 50_000 + " " + "a b " * 50_000 + "x").replace(" ", "")  # in one walk, without a limit
+    assert spelt.startswith("mor") and spelt.endswith("abx") and len(spelt) > 200_000
+
+
 def test_toxicity_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
