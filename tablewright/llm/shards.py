@@ -2,7 +2,8 @@
 
 Documents with equal text are one unit, so that copies stay together; a unit of more than a
 64th of a shard's target is salted into parts of that size at most. The metadata of a unit
-(bytes of the text, source, language) are those of its first document.
+(bytes of the text, source, language) are those of its first document. Source and language
+count by their rank among all distinct ones.
 
 The tree starts with all units. At each level, every node is cut along its widest dimension,
 measured against the whole collection, at the median weighted by bytes, until there are as
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablewright.llm.tables import joined_small, pieces, stored
+from tablewright.llm.tables import BROADCAST_ROWS, joined_small, pieces, stored
 
 SHARDS = 16
 SALT_PARTS = 64
@@ -35,6 +36,7 @@ ENOUGH = 2000
 SLOT_ROWS = 100_000
 DIMENSIONS = ("d_bytes", "d_source", "d_lang")
 TIE = 1 << 15
+RANK_BYTES = 8 << 20
 
 
 def size_of(text: str = "text") -> Column:
@@ -42,17 +44,32 @@ def size_of(text: str = "text") -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint")
 
 
-def code(text: str) -> Column:
-    """The first bytes of a string as a number, in the order of the strings."""
-    head = F.substring(F.rpad(F.hex(F.substring(F.encode(F.col(text), "UTF-8"), 1, 5)), 10, "0"), 1, 10)
-    return F.coalesce(F.conv(head, 16, 10).cast("bigint") + 1, F.lit(0))
+def ranks(rows: DataFrame, name: str) -> DataFrame:
+    """The distinct values of a column with their rank from 0 in binary order, null first. They are
+    ordered in ranges, so there may be any number of them."""
+    ranged = rows.select(name).distinct().repartitionByRange(name).withColumn("part", F.spark_partition_id())
+    ranged = stored(ranged, f"{name}-ranges")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    offset = ranged.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy(name)) - 1
+    return ranged.withColumn("within", within).join(offset, "part").select(name, (F.col("within") + F.col("offset")).alias("rank"))
+
+
+def ranked(units: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    """``units`` with the rank of their source or language, d_source or d_lang, in its stead."""
+    side = stored(ranks(rows, name), f"{name}-ranks").withColumnRenamed(name, "value")
+    count, size = side.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("value")), F.lit(0))).first()
+    side = F.broadcast(side) if count <= BROADCAST_ROWS and size <= RANK_BYTES else side
+    joined = units.join(side, F.col(f"d_{name}").eqNullSafe(F.col("value")))
+    return joined.drop("value", f"d_{name}").withColumnRenamed("rank", f"d_{name}")
 
 
 def units_of(rows: DataFrame) -> DataFrame:
     """One row per (text, salt): bytes, tie hash and the dimensions as whole numbers."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "c_source", "c_lang"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "source", "lang"))
     made = rows.groupBy("digest", "salt").agg(F.sum("size").alias("weight"), F.max("size").alias("d_bytes"), first.alias("first"))
-    made = made.select("digest", "salt", "weight", "d_bytes", F.col("first.c_source").alias("d_source"), F.col("first.c_lang").alias("d_lang"))
+    made = made.select("digest", "salt", "weight", "d_bytes", F.col("first.source").alias("d_source"), F.col("first.lang").alias("d_lang"))
+    made = ranked(ranked(made, rows, "source"), rows, "lang")
     tie = F.pmod(F.xxhash64("digest", "salt"), F.lit(TIE))
     return made.select("digest", "salt", "weight", tie.alias("tie"), *DIMENSIONS)
 
@@ -136,7 +153,7 @@ def assigned(docs: DataFrame, shards: int = SHARDS, keep_row: bool = False) -> D
     ``docs`` if asked for."""
     whole = [F.struct("*").alias("row")] if keep_row else []
     marks = [F.col("doc_id"), size_of().alias("size"), F.crc32(F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))).alias("text_crc32")]
-    rows = docs.select(*whole, *marks, F.xxhash64("text").alias("digest"), code("source").alias("c_source"), code("lang").alias("c_lang"))
+    rows = docs.select(*whole, *marks, F.xxhash64("text").alias("digest"), "source", "lang")
     narrow = stored(rows.drop("row"), "sizes")
     total = narrow.agg(F.sum("size")).first()[0] or 0
     limit = max(1, total // (shards * SALT_PARTS))

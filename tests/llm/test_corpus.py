@@ -229,6 +229,23 @@ def test_shards(docs, texts, nothing):
     assert shards.sharded(nothing).count() == 0
 
 
+@pytest.mark.parametrize("sources", [("common_crawl_a", "common_crawl_b"), ("src100", "src109"), (None, "src1")])
+def test_shards_tell_sources_with_a_common_beginning_apart(spark, sources):
+    shared_folder(spark)
+    rows = [(i, f"text {i:04d}", "en", sources[i % 2], 0, -1, "r", 9) for i in range(40)]
+    found = shards.with_shards(spark.createDataFrame(rows, SCHEMA), 2).collect()
+    assert len({(r["source"], r["shard"]) for r in found}) == 2 and len({r["shard"] for r in found}) == 2
+
+
+def test_ranks_of_sources(spark):
+    shared_folder(spark)
+    values = [None, "", "a", "é", *[f"common_crawl_{i}" for i in range(3_000)]]
+    rows = spark.createDataFrame([(v,) for v in values * 2], "source string")
+    found = shards.ranks(rows, "source").orderBy("rank").collect()
+    assert [r["source"] for r in found] == [None, *sorted(values[1:], key=str.encode)]
+    assert [r["rank"] for r in found] == list(range(len(values)))
+
+
 def test_token_ids(docs, texts, nothing):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
