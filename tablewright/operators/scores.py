@@ -207,9 +207,20 @@ def custom_metric(name: str, fn: Callable[[DataFrame], DataFrame], higher_is_bet
     CUSTOM_METRICS[name] = (fn, higher_is_better)
 
 
-def calculate_all(df: DataFrame, metrics: Sequence[str] = ("rouge", "bleu", "meteor", "distinct", "chrf", "exact_match"),
-                  custom: Sequence[str] = ()) -> DataFrame:
-    """All asked metrics in long form: ``(dataset, model, metric, value)``."""
+#: metrics of texts alone, and those that need columns of their own
+TEXT_METRICS = ("rouge", "bleu", "meteor", "distinct", "chrf", "exact_match", "f1", "ter", "self_bleu")
+COLUMN_METRICS = {"bertscore": ("prediction_vectors", "reference_vectors"), "perplexity": ("loss", "n_tokens")}
+
+
+def calculate_all(df: DataFrame, metrics: Sequence[str] = TEXT_METRICS, custom: Sequence[str] = ()) -> DataFrame:
+    """All asked metrics in long form: ``(dataset, model, metric, value)``. Those of ``COLUMN_METRICS``
+    read the token vectors or losses that ``df`` has besides the texts."""
+    for name in metrics:
+        if name not in TEXT_METRICS and name not in COLUMN_METRICS:
+            raise ValueError(f"Unknown metric: {name}. Available: {sorted([*TEXT_METRICS, *COLUMN_METRICS])}")
+        lacking = [c for c in COLUMN_METRICS.get(name, ()) if c not in df.columns]
+        if lacking:
+            raise ValueError(f"Metric {name} needs the columns {lacking}")
     # every metric reads the predictions again, so they are stored once
     df = durable(df)
     parts: list[DataFrame] = []
@@ -233,6 +244,17 @@ def calculate_all(df: DataFrame, metrics: Sequence[str] = ("rouge", "bleu", "met
         keep(ov.chrf(df), "chrf", "chrf")
     if "exact_match" in metrics:
         keep(ov.exact_match(df), "exact_match", "exact_match")
+    if "f1" in metrics:
+        keep(ov.f1_token(df), "f1", "f1")
+    if "ter" in metrics:
+        keep(ter(df), "ter", "ter")
+    if "self_bleu" in metrics:
+        keep(ov.self_bleu(df, "prediction", "example_id"), "self_bleu", "self_bleu")
+    if "bertscore" in metrics:
+        names = [f"bertscore_{x}" for x in ("precision", "recall", "f1")]
+        keep(ov.summarize(bertscore(df, *COLUMN_METRICS["bertscore"]), names), F.col("metric"), "value")
+    if "perplexity" in metrics:
+        keep(perplexity(df, by=GROUP), "perplexity", "perplexity")
     for name in custom:
         if name not in CUSTOM_METRICS:
             raise ValueError(f"Unknown metric: {name}. Available: {sorted(CUSTOM_METRICS)}")

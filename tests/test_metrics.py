@@ -219,3 +219,16 @@ def test_reports(spark):
     )
     got = {r.id: r.error_class for r in rp.failure_analysis(answers, "s", "id").collect()}
     assert got == {1: "empty", 2: "refusal", 3: "too_short", 4: "repeated"}
+
+
+def test_calculate_all_takes_every_metric(spark):
+    row = "'d' AS dataset, 'm' AS model, array(array(1.0, 0.0)) AS prediction_vectors, array(array(1.0, 0.0)) AS reference_vectors, 2.0D AS loss, 4 AS n_tokens"
+    df = spark.sql(f"SELECT id AS example_id, 'the cat sat down' AS prediction, 'the cat sat up' AS reference, array('the cat sat up') AS references, {row} FROM range(2)")
+    asked = ["f1", "ter", "self_bleu", "bertscore", "perplexity"]
+    got = {r["metric"]: r["value"] for r in sc.calculate_all(df, asked).collect()}
+    assert set(got) == {"f1", "ter", "self_bleu", "perplexity", "bertscore_precision", "bertscore_recall", "bertscore_f1"}
+    assert got["ter"] == 0.25 and abs(got["perplexity"] - np.exp(2.0)) < 1e-9 and abs(got["bertscore_f1"] - 1) < 1e-9
+    with pytest.raises(ValueError, match="Unknown metric: nonsense"):
+        sc.calculate_all(df, ["nonsense"])
+    with pytest.raises(ValueError, match="needs the columns"):
+        sc.calculate_all(df.drop("loss"), ["perplexity"])
