@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontaminate, html_text, mixture, near_dups, pii, quality, repeats, shards, token_ids, toxicity
+from tablewright.llm import decontaminate, divergence, html_text, mixture, near_dups, pii, quality, repeats, resample, shards, sql, token_ids, toxicity
 from tablewright.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pii")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.findings(table(spark, sf_dir, "documents"))
+
+
+@query("op11_importance_resampling", sql.RESAMPLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_source_divergence", sql.DIVERGENCE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
