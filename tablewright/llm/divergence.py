@@ -15,7 +15,8 @@ corrects it, and terms that both lack add the difference of the baselines. All o
 64-bit whole numbers.
 
 Spark deals the matrix out in cells of (language, block of groups, block of terms): some
-``CELL_POSTINGS`` postings and an accumulator of at most ``CELL_PLACES`` places each. Postings are
+``CELL_POSTINGS`` postings, more where there are thousands of sources, and accumulators of at most
+``CELL_PLACES`` places each. Postings are
 repeated for each block of groups, of which there is one below 2,000 sources. Cells return one
 number per pair of groups, which are added up. A term's postings, one for each source, are
 the longest list that exists.
@@ -47,7 +48,8 @@ LEAST_DOCS = 30
 UNIT = 1_000_000_000
 ADDED = 5
 TOP_TERMS = 50
-CELL_POSTINGS = 500_000
+CELL_POSTINGS = 50_000
+CELL_PAIRS = 8
 CELL_PLACES = 4_000_000
 #: bytes of terms `[^\x00-\x40\x5B-\x60\x7B-\x7F]+`
 LETTERS = byte_class([(0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)])
@@ -167,8 +169,10 @@ def distances(shares: DataFrame, groups: DataFrame) -> DataFrame:
     """
     size = F.greatest(F.lit(1), F.floor(F.lit(CELL_PLACES) / F.col("sources"))).cast("bigint")
     langs = groups.select("lang", "terms", "postings", "sources").distinct().withColumn("block_size", size)
+    # a cell returns a number for each pair of groups: with many groups it gets more postings
+    each = F.col("sources") * F.col("sources") / CELL_PAIRS
     langs = langs.withColumn("blocks", F.ceil(F.col("sources") / F.col("block_size"))).withColumn(
-        "parts", F.greatest(F.lit(1), F.ceil(F.col("postings") * 1.0 / CELL_POSTINGS))
+        "parts", F.greatest(F.lit(1), F.ceil(F.col("postings") / F.greatest(F.lit(CELL_POSTINGS), each)))
     )
     langs = stored(langs.select("lang", "terms", "block_size", "blocks", "parts"), "languages")
     sized = lambda df: joined_small(df, langs, ["lang"])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontaminate, divergence, html_text, mixture, near_dups, pii, quality, repeats, resample, shards, sql, token_ids, toxicity
+from tablewright.llm import decontaminate, divergence, html_text, jaccard, mixture, near_dups, pii, quality, repeats, resample, shards, sql, token_ids, toxicity
 from tablewright.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_source_divergence", sql.DIVERGENCE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_ngram_jaccard", sql.JACCARD)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))

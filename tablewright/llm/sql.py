@@ -97,11 +97,14 @@ WITH RECURSIVE docs AS (SELECT doc_id, {plain_words(lowered('text'))} AS w FROM
 sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
     ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM docs),
-shingles AS (SELECT doc_id, unnest(s) AS x FROM sets),
+texts AS (SELECT doc_id, unnest(s) AS t, len(s) AS n FROM sets),
+numbers AS (SELECT t, row_number() OVER () AS x FROM (SELECT DISTINCT t FROM texts)),
+shingles AS (SELECT doc_id, x, n FROM texts JOIN numbers USING (t)),
 shared AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
-links AS (
-  SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * both >= 85 * (len(x.s) + len(y.s) - both)),
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n, b.n AS m, count(*) AS common FROM shingles a
+  JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n GROUP BY ALL),
+pairs AS (SELECT a, b FROM shared WHERE 100 * common >= 85 * (n + m - common)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
 reached(doc_id, other) AS (
   SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
 SELECT doc_id, any_value(len(s))::BIGINT AS n_shingles, min(other) AS component_id FROM reached JOIN sets USING (doc_id) GROUP BY doc_id
