@@ -374,9 +374,13 @@ def candidates(left: list[tuple], right: list[tuple], bands: Bands) -> list[tupl
 def across(named: DataFrame, bits: DataFrame, bands: Bands) -> DataFrame:
     """Pairs (a, b, first) of nodes of different classes that meet under a key and pass the bits.
 
-    named has key, node and class, bits the node's n and bits.
+    named has key, centre, node and class, bits the node's n and bits. Pairs with the centre of a
+    key are verified already, so the centre is left out; of keys with the same other nodes one is enough.
     """
-    mixed = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
+    named = named.filter("node <> centre")
+    mark = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in (1, 2)]
+    mixed = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("size"), *mark).filter("low < high")
+    mixed = mixed.groupBy("size", "x1", "x2").agg(F.min("key").alias("key")).select("key")
     held = stored(named.join(mixed, "key").join(bits, "node").select("key", "node", "class", "n", "bits"), "meeting")
     weight = F.greatest(F.length("bits"), F.lit(BLOCK_BYTES // BLOCK_NODES))
     counts = held.groupBy("key").agg(F.ceil(F.sum(weight) / BLOCK_BYTES).cast("bigint").alias("blocks"))
@@ -440,7 +444,7 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         found = label.select(F.col("node").alias("_node"), F.col("class").alias("_class"))
         return df.join(found, F.col(node) == F.col("_node"), "left").withColumn(name, F.coalesce("_class", node)).drop("_node", "_class")
 
-    named_members = classed(members.select("key", "node"), "node")
+    named_members = classed(members, "node")
     met = stored(across(named_members, stored(with_bits(texts), "bits"), bands), "candidates")
     for some in (met.filter("first"), met.filter("NOT first")):
         if some.isEmpty():
