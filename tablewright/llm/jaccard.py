@@ -20,8 +20,11 @@ that a set can leave out the keys of its empty subsets, which would meet those o
 other set: they are only used by a set whose other segments are too few for the bound, and
 two such sets both use them.
 
+Frequent keys. What a batch of texts has several times under one key is dealt out by key once and
+held back otherwise, so that a key that a third of all sets have is few rows of each task.
+
 Verification. Equal sets are one node before anything else. The nodes under a key are compared
-with the smallest of them by their whole sets, and links are connected. Where a key still
+with the first of them by their whole sets, and links are connected. Where a key still
 holds several components, its nodes are dealt out in blocks by a hash, and the pairs of
 blocks, as numbers, to tasks: one frequent key is as many tasks as it has pairs of
 blocks. A block holds a parity bit vector for each set; the bits in which two differ are no
@@ -44,6 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tablewright.llm.near_dups import connected
 from tablewright.llm.tables import joined_small, shuffle_width, stored
@@ -56,6 +60,7 @@ CHOICES = (0.0, 0.5, 1.0)  # shares of a band's units in segments with deletion
 PAIR_COST = 0.02
 SKETCH = 64
 NAMELESS = 1 << 62  # nodes of documents without an id lie from here on
+LOCAL_MANY = 4  # nodes of one batch under one key
 BLOCK_NODES = 512
 BLOCK_BYTES = 256 << 10
 BITS_EACH = 2
@@ -263,7 +268,11 @@ def nameless(lo: Column) -> Column:
 
 
 def keyed(docs: DataFrame, bands: Bands, chosen: np.ndarray) -> DataFrame:
-    """key, node and role of the sets' keys."""
+    """key, node, role, many and held of the sets' keys.
+
+    A key that several nodes of a batch have becomes one row with ``many``, the first by role and node;
+    the other rows are ``held`` back: they need not be dealt out by key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,9 +281,32 @@ def keyed(docs: DataFrame, bands: Bands, chosen: np.ndarray) -> DataFrame:
                 node = nodes_of(piece.column("doc_id"), sets)
                 for band in both_bands(sets, bands):
                     row, key, role = keys_of(sets, band, bands, chosen)
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node[row]), pa.array(role)], ["key", "node", "role"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "key bigint, node bigint, role tinyint")
+                    at = node[row]
+                    order = np.lexsort((at, role, key))
+                    row, key, role, at = row[order], key[order], role[order], at[order]
+                    first = np.ones(len(key), bool)
+                    first[1:] = key[1:] != key[:-1]
+                    size = np.diff(np.append(np.flatnonzero(first), len(key)))
+                    many = np.repeat(size >= LOCAL_MANY, size)
+                    columns = [pa.array(key.view(np.int64)), pa.array(at), pa.array(role), pa.array(many), pa.array(many & ~first)]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "node", "role", "many", "held"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "key bigint, node bigint, role tinyint, many boolean, held boolean")
+
+
+def members_of(keys: DataFrame) -> DataFrame:
+    """key, centre and node for the keys that several nodes have, one of them as a whole subset; the
+    centre is the first such node."""
+    ordered = Window.partitionBy("key").orderBy("role", "node")
+    seen = keys.filter("NOT held").select(
+        "key", "node", "many",
+        F.first("node").over(ordered).alias("centre"), F.first("role").over(ordered).alias("least"),
+        F.lag("node").over(ordered).alias("before"), F.lead("node").over(ordered).alias("after"),
+    )
+    shared = stored(seen.filter("least = 0 AND (many OR before IS NOT NULL OR after IS NOT NULL)").select("key", "centre", "node", "many"), "members")
+    heads = shared.filter("many").select("key", "centre").distinct()
+    rest = keys.filter("held").select("key", "node").join(heads, "key").select("key", "centre", "node")
+    return shared.select("key", "centre", "node").union(rest)
 
 
 def with_nodes(docs: DataFrame) -> DataFrame:
@@ -428,9 +460,7 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     single = joined_small(docs, later, ["doc_id"], "left_anti")
 
     keys = stored(keyed(single, bands, chosen), "keys")
-    shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min("role").alias("role"))
-    shared = shared.filter("low < high AND role = 0").select("key", F.col("low").alias("centre"))
-    members = stored(keys.select("key", "node").join(shared, "key").distinct(), "members")
+    members = stored(members_of(keys), "members")
     wanted = stored(members.select("node").distinct(), "nodes")
     texts = joined_small(with_nodes(single), wanted, ["node"])
     texts = stored(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
