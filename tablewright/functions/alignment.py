@@ -248,3 +248,18 @@ def greedy_cosine_udf(predicted: pd.Series, reference: pd.Series) -> pd.DataFram
             cos = a @ b.T
             out[row] = cos.max(axis=1).mean(), cos.max(axis=0).mean()
     return pd.DataFrame(out, columns=["precision", "recall"])
+
+
+@F.pandas_udf(T.StructType().add("precision", T.DoubleType()).add("recall", T.DoubleType()))
+def weighted_cosine_udf(predicted: pd.Series, reference: pd.Series) -> pd.DataFrame:
+    """The same for lists of (vector, weight): means of the best cosines by weight."""
+    out = np.zeros((len(predicted), 2))
+    for row, sides in enumerate(zip(predicted, reference)):
+        if not all(len(s) for s in sides):
+            continue
+        (a, v), (b, w) = ((np.stack([x["vector"] for x in s]).astype("float64"), np.array([x["weight"] for x in s])) for s in sides)
+        a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+        b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
+        cos = a @ b.T
+        out[row] = [best @ u / u.sum() if u.sum() else 0.0 for best, u in ((cos.max(axis=1), v), (cos.max(axis=0), w))]
+    return pd.DataFrame(out, columns=["precision", "recall"])

@@ -19,10 +19,11 @@ from tablewright.operators.sized import lookup, pinned
 _ROWS_PER_BUCKET = 250_000
 
 
-def seeded_key(row_id: str | Column, seed: int) -> Column:
+def seeded_key(row_id: str | Column, seed: int | Column) -> Column:
     """The reproducible shuffle key of a row."""
     col = F.col(row_id) if isinstance(row_id, str) else row_id
-    return F.md5(F.concat(F.lit(f"{seed}:"), col.cast("string")))
+    prefix = F.lit(f"{seed}:") if isinstance(seed, int) else F.concat(seed.cast("string"), F.lit(":"))
+    return F.md5(F.concat(prefix, col.cast("string")))
 
 
 def unit_interval(key: Column) -> Column:
@@ -33,21 +34,24 @@ def unit_interval(key: Column) -> Column:
 def cut_keys(
     df: DataFrame,
     row_id: str,
-    seed: int,
+    seed: int | Column,
     cuts: Callable[[Column], dict[str, Column]],
     group: Sequence[str] = (),
 ) -> DataFrame:
     """The key of the k-th row for every named cut: one row per group.
 
-    ``cuts`` maps the size of a group to named row counts k. The result has the
-    group columns, ``_total``, and per name a struct ``(key, row_id)``: null for k = 0.
+    ``cuts`` maps the size of a group to named row counts k, ``seed`` may depend on the group. The
+    result has the group columns, ``_total``, and per name a struct ``(key, row_id)``: null for k = 0.
     """
     group = list(group)
     keys = df.select(*group, F.col(row_id).alias("_id"))
     if not group:
         group = ["_all"]
         keys = keys.withColumn("_all", F.lit(0))
-    keys = keys.withColumn("_key", seeded_key("_id", seed))
+    columns = keys.columns
+    if not isinstance(seed, int) and group == ["_group"]:
+        keys = keys.select("*", "_group.*")  # the seed is one of the group's columns
+    keys = keys.withColumn("_key", seeded_key("_id", seed)).select(*columns, "_key")
     total = keys.count()
     digits = min(5, max(1, math.ceil(math.log(max(total / _ROWS_PER_BUCKET, 1.0001), 16))))
     keys = keys.withColumn("_bucket", F.substring("_key", 1, digits))
@@ -110,8 +114,10 @@ def with_cuts(
     seed: int,
     cuts: Callable[[Column], dict[str, Column]],
     group: Sequence[str] = (),
+    total: str | None = None,
 ) -> DataFrame:
-    """``df`` plus a boolean column per cut: is the row among the first k of its group?"""
+    """``df`` plus a boolean column per cut: is the row among the first k of its group? With ``total``,
+    groups also get their size under this name."""
     names = list(cuts(F.lit(1)))
     columns = df.columns
     if group:
@@ -136,4 +142,5 @@ def with_cuts(
                 else F.struct(F.lit(edge["key"]).alias("key"), F.lit(edge["row_id"]).alias("row_id"))
             )
         joined = df.withColumns(bounds)
-    return joined.select(*[F.col(c) for c in columns], *flags)
+    size = [F.col("_total").alias(total)] if total and group else []
+    return joined.select(*[F.col(c) for c in columns], *size, *flags)

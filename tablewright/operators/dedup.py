@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.sized import lookup, pinned
+
 DEFAULT_SUBSET = ("instruction", "input", "output")
 
 
@@ -29,15 +31,17 @@ def _present(df: DataFrame, subset: Sequence[str]) -> list[str]:
 def dedup(df: DataFrame, subset: Sequence[str] = DEFAULT_SUBSET, row_id: str = "row_id") -> DataFrame:
     """The first row, by ``row_id``, of every distinct tuple.
 
-    Keys and ids are aggregated without the texts (copies collapse before the
-    shuffle), and the wide rows are matched on the unique id, so that a group of
-    copies of any size stays spread out.
+    Keys and ids are aggregated without the texts, where copies collapse before the shuffle. Only keys
+    that occur more than once go back to the ids, so what comes out are the ids of later copies;
+    while these are few the wide rows are not shuffled at all, and never by a key that copies share.
     """
     subset = _present(df, subset)
     if not subset:
         return df
-    first = df.select(record_key(subset).alias("_key"), row_id).groupBy("_key").agg(F.min(row_id).alias(row_id))
-    return df.join(first.select(row_id), row_id, "left_semi")
+    keyed = df.select(record_key(subset).alias("_key"), row_id)
+    repeated = keyed.groupBy("_key").agg(F.min(row_id).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    later = lookup(keyed, repeated, ["_key"], "inner", weight="_n").filter(F.col(row_id) != F.col("_first"))
+    return df.join(pinned(later.select(row_id)), row_id, "left_anti")
 
 
 def duplicate_count(

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import text as tx
-from tablewright.operators.scan import RowNumber, Running, scan
+from tablewright.operators.replicates import poisson_counts, replicate_sums, signs
+from tablewright.operators.scan import Running, scan
+from tablewright.operators.selection import first_per_group
 from tablewright.operators.sized import lookup, pinned
 from tablewright.operators.stats import exact_percentiles
 from tablewright.operators.validate import repetition_ratio
+from tablewright.session import durable
 
 LATENCY_POINTS = (50, 75, 90, 95, 99, 99.9)
 METRIC_DIGITS, PERFORMANCE_DIGITS = 4, 2
@@ -27,8 +30,8 @@ def performance_summary(
 ) -> DataFrame:
     """Latency, throughput and memory per group, its first ``warmup`` rows left out."""
     by, order = list(by), list(order)
-    numbered = scan(df.select(*by, *order), by, order, RowNumber("_rn"))
-    skipped = pinned(numbered.filter(F.col("_rn") <= warmup).select(*by, *order))
+    first = first_per_group(df.select(*by, *order), by, [F.col(c).asc() for c in order], warmup, "_rn")
+    skipped = pinned(first.select(*by, *order))
     # null groups and order keys have warm-up rows as well
     same = reduce(lambda a, b: a & b, [F.col(f"rows.{c}").eqNullSafe(F.col(f"skipped.{c}")) for c in [*by, *order]])
     measured = df.alias("rows").join(skipped.alias("skipped"), same, "left_anti")
@@ -115,12 +118,6 @@ def category_rollup(df: DataFrame, levels: Sequence[str], value: str, weight: st
 # --- resampling --------------------------------------------------------------
 
 
-def _draw(row_id: str, seed: int) -> Column:
-    """A number in [0, 1) for a row and a replicate."""
-    text = F.concat(F.lit(f"{seed}:"), F.col("replicate").cast("string"), F.lit(":"), F.col(row_id).cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(16**8))
-
-
 def poisson_bounds(limit: int = 12) -> list[float]:
     """Cumulative probabilities of a Poisson(1) count."""
     out, term, total = [], math.exp(-1), 0.0
@@ -131,50 +128,39 @@ def poisson_bounds(limit: int = 12) -> list[float]:
     return out
 
 
-def _replicates(df: DataFrame, n: int) -> DataFrame:
-    return df.select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("replicate"))
-
-
 def bootstrap_ci(
     df: DataFrame, value: str, row_id: str, by: Sequence[str] = (), samples: int = 1000,
     confidence: float = 0.95, seed: int = 42,
 ) -> DataFrame:
     """Percentile interval of the resampled mean.
 
-    Every row enters a replicate a Poisson(1) number of times, drawn from a hash, so
-    replicates need no exchange of rows: partial sums per replicate are merged.
+    Every row enters a replicate a Poisson(1) number of times, drawn from a hash. A task folds its rows
+    into one sum per group and replicate, and these are merged.
     """
-    times = tx.let(
-        _draw(row_id, seed), lambda u: sum((F.when(u >= b, 1).otherwise(0) for b in poisson_bounds()), F.lit(0))
-    )
-    drawn = _replicates(df.select(*by, row_id, value), samples).withColumn("_k", times)
-    means = (
-        drawn.groupBy(*by, "replicate")
-        .agg(F.sum(F.col("_k") * F.col(value)).alias("_sum"), F.sum("_k").alias("_rows"))
-        .withColumn("_mean", F.when(F.col("_rows") > 0, F.col("_sum") / F.col("_rows")))
-    )
+    sums = replicate_sums(df, value, row_id, by, samples, seed, poisson_counts(poisson_bounds()))
+    means = sums.withColumn("_mean", F.when(F.col("weight") > 0, F.col("total") / F.col("weight")))
     tail = (1 - confidence) / 2
-    bounds = means.groupBy(*by).agg(
+    group = F.struct(*by, F.lit(0).alias("_all"))  # null groups are groups too
+    bounds = means.groupBy(group.alias("_group")).agg(
         F.percentile("_mean", F.array(F.lit(tail), F.lit(1 - tail))).alias("_q"),
         F.count("_mean").alias("samples"),
     )
-    centre = df.groupBy(*by).agg(F.avg(value).alias("mean"))
-    shown = ["mean", F.col("_q")[0].alias("low"), F.col("_q")[1].alias("high"), "samples"]
-    if not by:
-        mean = centre.first()["mean"]
-        return bounds.select(F.lit(mean).alias("mean"), *shown[1:])
-    return bounds.join(centre, list(by)).select(*by, *shown)
+    centre = df.groupBy(group.alias("_group")).agg(F.avg(value).alias("mean"))
+    columns = [F.col("_group")[c].alias(c) for c in by]
+    return bounds.join(pinned(centre), "_group").select(*columns, "mean", F.col("_q")[0].alias("low"), F.col("_q")[1].alias("high"), "samples")
 
 
 def permutation_test(
     pairs: DataFrame, difference: str, row_id: str, by: Sequence[str] = (), samples: int = 1000, seed: int = 42
 ) -> DataFrame:
     """Paired sign-flip test: how often a random sign gives a mean as far from zero."""
-    flipped = F.when(_draw(row_id, seed) < 0.5, F.col(difference)).otherwise(-F.col(difference))
+    by = list(by)
     rows = pairs.select(*by, row_id, difference).filter(F.col(difference).isNotNull())
-    sums = _replicates(rows, samples).groupBy(*by, "replicate").agg(
-        F.avg(flipped).alias("_t"), F.avg(difference).alias("_observed")
-    )
+    observed = rows.groupBy(*by).agg(F.avg(difference).alias("_observed"), F.count(F.lit(1)).alias("_rows"))
+    group = F.struct(*by, F.lit(0).alias("_all"))  # null groups are groups too
+    sums = replicate_sums(rows, difference, row_id, by, samples, seed, signs).select("*", group.alias("_group"))
+    sums = sums.join(pinned(observed.select(group.alias("_group"), "_observed", "_rows")), "_group")
+    sums = sums.withColumn("_t", F.col("total") / F.col("_rows"))
     # the observed mean is the same in every replicate of a group
     hit = F.abs("_t") >= F.abs("_observed") - 1e-12
     return sums.groupBy(*by).agg(
@@ -231,9 +217,12 @@ def qualitative_examples(
 ) -> DataFrame:
     """The best, worst and most median examples of every group.
 
-    Each task keeps n rows per group before the shuffle, and n is small.
+    Ids and scores are stored once; each task keeps n rows per group before the shuffle, and only
+    the chosen rows are fetched whole.
     """
     by = list(by)
+    wide = scores
+    scores = durable(scores.select(*by, row_id, score))
     middle = exact_percentiles(scores.select(*by, score), by, score, [50]).select(
         *by, F.col("value").alias("_median")
     )
@@ -247,17 +236,12 @@ def qualitative_examples(
         "worst": [value.asc()],
         "median": [F.abs(value - F.col("_median")).asc()],
     }
-    parts = []
-    for kind, order in orders.items():
-        w = Window.partitionBy(*by).orderBy(*order, F.col(row_id).asc()) if by else None
-        if w is None:
-            ranked = framed.orderBy(*order, F.col(row_id).asc()).limit(n)
-            w = Window.partitionBy(F.lit(0)).orderBy(*order, F.col(row_id).asc())
-            ranked = ranked.withColumn("rank", F.row_number().over(w))
-        else:
-            ranked = framed.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-        parts.append(ranked.withColumn("kind", F.lit(kind)).drop("_median"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    parts = [
+        first_per_group(framed, by, [*order, F.col(row_id).asc()], n, "rank").select(row_id, "rank", F.lit(kind).alias("kind"))
+        for kind, order in orders.items()
+    ]
+    chosen = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return wide.join(pinned(chosen), row_id).select(*wide.columns, "rank", "kind")
 
 
 # Fixed value: openings of an answer that declines.

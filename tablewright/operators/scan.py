@@ -1,11 +1,16 @@
 """Running values, neighbours and row numbers over ordered groups of any size.
 
-A plain window sends a whole group to one task. Here the rows are range partitioned
-by (group, order), so that a large group spans several partitions; the partition is
-the *chunk*. Windows run inside (group, chunk), and what a chunk inherits from the
-earlier ones is a carry row. A chunk continues at most one group from its
-predecessor and passes at most one on, so there are no more than two carry rows per
-partition: that table is broadcast.
+A plain window sends a whole group to one task. Here a group is cut into *chunks*: a fixed
+sample of (group, order) keys gives bounds, about one for each shuffle partition, and a row's
+chunk is the number of bounds up to its key. Windows run inside (group, chunk), for which the
+wide rows are exchanged once. What a chunk inherits from the earlier ones of its group is a
+carry row. Only a group that holds a bound can have several chunks, so the carry rows come
+from the rows of these groups, narrow and aggregated before their shuffle, and are no more
+than two for each bound: that table is broadcast.
+
+The bounds are stored, so a row has the same chunk whenever it is computed again; where they
+lie only settles how even the chunks are. ``df`` is read three times, twice for its key and value
+columns only; store it before if it is dear to compute.
 """
 
 from __future__ import annotations
@@ -19,8 +24,8 @@ from pyspark.sql import functions as F
 from tablewright.session import durable
 
 _OWN = "__scan_"  # no caller's column may start like this
-_POS, _CHUNK, _CARRY_CHUNK, _SPANS = (f"{_OWN}{n}" for n in ("pos", "chunk", "carry_chunk", "spans"))
-_LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
+_KEY, _CHUNK = f"{_OWN}key", f"{_OWN}chunk"
+SAMPLES_PER_CHUNK = 40
 
 
 @dataclass(frozen=True)
@@ -60,30 +65,61 @@ def _combine(how: str, carried: Column, local: Column) -> Column:
     return F.coalesce(carried + local, carried, local)
 
 
+def bounds_of(df: DataFrame, key: Column, chunks: int) -> DataFrame:
+    """One row: the keys that cut ``df`` into about ``chunks`` even ranges, in order, and grouped into
+    about the square root of their number of runs.
+
+    The sample is the ``SAMPLES_PER_CHUNK * chunks`` rows with the smallest hashes, kept by each
+    task before they meet.
+    """
+    rows = max(2, SAMPLES_PER_CHUNK * chunks)
+    sample = df.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(rows)
+    ordered = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    n = F.size("keys")
+    cut = lambda i: F.col("keys")[F.floor(i * n / chunks).cast("int")]
+    inner = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.lit(chunks - 1)), cut)) if chunks > 1 else F.lit(None)
+    kind = f"array<{sample.schema['key'].dataType.simpleString()}>"
+    flat = ordered.select(F.coalesce(F.array_distinct(inner.cast(kind)), F.array().cast(kind)).alias("flat"))
+    run = max(1, round(chunks**0.5))
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("flat") - 1), F.lit(run))
+    return durable(flat.select("flat", F.transform(starts, lambda i: F.slice("flat", i + 1, run)).alias("runs")))
+
+
+def with_chunk(df: DataFrame, key: Column, bounds: DataFrame, name: str) -> DataFrame:
+    """``df`` and how many bounds are not above the key, found in two steps."""
+    box = f"{_OWN}runs"
+    runs = F.col(box)
+    before = F.size(F.filter(runs, lambda r: F.get(r, F.lit(0)) <= key))
+    last = F.get(runs, before - 1)
+    length = F.size(F.get(runs, F.lit(0)))
+    inside = F.size(F.filter(F.coalesce(last, F.slice(F.get(runs, F.lit(0)), 1, 0)), lambda b: b <= key))
+    chunk = F.when(before > 0, (before - 1) * length + inside).otherwise(F.lit(0)).cast("int")
+    return df.withColumn(box, bounds.select("runs").scalar()).withColumn(name, chunk).drop(box)
+
+
 def scan(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[str | Column],
     *specs: RowNumber | Running | Neighbour,
 ) -> DataFrame:
-    """``df`` plus one column per spec. ``order`` must be unique inside a group."""
+    """``df`` plus one column per spec. ``order``, ascending with nulls first, must be unique inside a
+    group."""
     group = list(group)
     if any(c.startswith(_OWN) for c in df.columns):
         raise ValueError(f"column names must not start with {_OWN}")
-    order_cols = [F.col(c).asc() if isinstance(c, str) else c for c in order]
-    layout = [F.col(g).asc() for g in group] + order_cols
-    laid = (
-        df.repartitionByRange(*layout)
-        .sortWithinPartitions(*layout)
-        .withColumn(_POS, F.monotonically_increasing_id())
-        .withColumn(_CHUNK, F.shiftright(_POS, _LOCAL_BITS))
-    )
-    # Range bounds come from a sample: store the layout before reading it twice.
-    laid = durable(laid)
-
-    inside = Window.partitionBy(*group, _CHUNK).orderBy(_POS)
+    parts = [F.col(g).alias(f"g{i}") for i, g in enumerate(group)]
+    parts += [(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)]
+    key = F.struct(*parts)
+    chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = bounds_of(df, key, chunks)
+    keyed = with_chunk(df.withColumn(_KEY, key), F.col(_KEY), bounds, _CHUNK)
+    pos = F.col(_KEY)
+
+    inside = Window.partitionBy(*group, _CHUNK).orderBy(pos)
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    # at most two rows for each bound reach these windows
     across = Window.partitionBy(*(group or [F.lit(0)])).orderBy(_CHUNK)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -107,27 +143,32 @@ def scan(
             boxed = F.struct(s.value.alias("v"))
             shift, edge = (F.lag, F.max_by) if s.offset < 0 else (F.lead, F.min_by)
             local.append(shift(boxed).over(inside).alias(loc))
-            per_chunk.append(edge(boxed, _POS).alias(agg))
+            per_chunk.append(edge(boxed, pos).alias(agg))
             carried.append(shift(agg).over(across).alias(car))
             final.append(F.coalesce(F.col(loc), F.col(car)).getField("v").alias(s.name))
 
+    names = [f"{_OWN}group{i}" for i in range(len(group))]
+    same = lambda side: [F.col(g).eqNullSafe(side[n]) for g, n in zip(group, names)]
+    long = keyed
+    if group:
+        held = bounds.select(F.explode("flat").alias("k")).select(*[F.col(f"k.g{i}").alias(n) for i, n in enumerate(names)]).distinct()
+        held = F.broadcast(held)  # fewer rows than bounds
+        long = keyed.join(held, _all(same(held)), "left_semi")
     carry = (
-        laid.groupBy(*group, _CHUNK)
+        long.groupBy(*group, _CHUNK)
         .agg(*per_chunk)
-        .select(
-            *[F.col(g).alias(f"{_OWN}group{i}") for i, g in enumerate(group)],
-            F.col(_CHUNK).alias(_CARRY_CHUNK),
-            F.count(F.lit(1)).over(Window.partitionBy(*(group or [F.lit(0)]))).alias(_SPANS),
-            *carried,
-        )
-        .filter(F.col(_SPANS) > 1)
-        .drop(_SPANS)
+        .select(*[F.col(g).alias(n) for g, n in zip(group, names)], F.col(_CHUNK).alias(f"{_OWN}to"), *carried)
     )
-    on = F.col(_CHUNK) == F.col(_CARRY_CHUNK)
-    for i, g in enumerate(group):
-        on = on & F.col(g).eqNullSafe(F.col(f"{_OWN}group{i}"))
+    on = _all([F.col(_CHUNK) == F.col(f"{_OWN}to"), *same(carry)])
     return (
-        laid.select("*", *local)
+        keyed.select("*", *local)
         .join(F.broadcast(carry), on, "left")
         .select(*[F.col(c) for c in df.columns], *final)
     )
+
+
+def _all(conditions: Sequence[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out

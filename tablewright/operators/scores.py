@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions import alignment as al
 from tablewright.functions import text as tx
@@ -187,7 +192,36 @@ def similarity(a: str | Column, b: str | Column, metric: str = "cosine") -> Colu
 
 def bertscore(df: DataFrame, predicted: str, reference: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """Greedy matching of supplied token vectors; a row holds both lists."""
-    scored = df.select(*keys, al.greedy_cosine_udf(F.col(predicted), F.col(reference)).alias("_s"))
+    return _bertscore(df.select(*keys, al.greedy_cosine_udf(F.col(predicted), F.col(reference)).alias("_s")), keys)
+
+
+def token_idf(tokens: DataFrame, document: Sequence[str]) -> DataFrame:
+    """(token, idf, n): ln((M + 1) / (d + 1)), with d of the M documents holding the token, n times in all."""
+    total = tokens.select(*document).distinct().count()
+    held = F.count_distinct(F.struct(*document))
+    return tokens.groupBy("token").agg(
+        F.log((F.lit(total) + 1) / (held + 1)).alias("idf"), F.count(F.lit(1)).alias("n")
+    )
+
+
+def idf_bertscore(tokens: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Greedy matching in which rare tokens count more.
+
+    ``tokens`` has the keys, ``predicted`` (which side), ``position``, ``token`` and ``vector``. Document
+    frequencies come from the reference sides; a token that they lack has the weight of none.
+    """
+    keys = list(keys)
+    stored = durable(tokens.select(*keys, "predicted", "position", "token", "vector"))
+    idf = token_idf(stored.filter("NOT predicted"), keys)
+    unseen = math.log(stored.filter("NOT predicted").select(*keys).distinct().count() + 1)
+    weighed = lookup(stored, idf.withColumnRenamed("n", "_n"), ["token"], weight="_n")
+    one = F.struct("position", "vector", F.coalesce("idf", F.lit(unseen)).alias("weight"))
+    # a side's tokens belong together by definition
+    sides = weighed.groupBy(*keys).agg(*[F.array_sort(F.collect_list(F.when(F.col("predicted") == p, one))).alias(n) for p, n in ((True, "_p"), (False, "_r"))])
+    return _bertscore(sides.select(*keys, al.weighted_cosine_udf("_p", "_r").alias("_s")), keys)
+
+
+def _bertscore(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
     p, r = F.col("_s.precision"), F.col("_s.recall")
     return scored.select(
         *keys,
@@ -197,6 +231,14 @@ def bertscore(df: DataFrame, predicted: str, reference: str, keys: Sequence[str]
     )
 
 
+def score_summary(scores: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Mean, standard deviation (of the sample), bounds and count of each score per group, in long form."""
+    values = F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns]))
+    return scores.select(*by, values).groupBy(*by, "metric").agg(
+        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"), F.count("value").alias("n")
+    )
+
+
 # --- metric collection -------------------------------------------------------
 
 CUSTOM_METRICS: dict[str, tuple[Callable[[DataFrame], DataFrame], bool]] = {}
@@ -207,6 +249,77 @@ def custom_metric(name: str, fn: Callable[[DataFrame], DataFrame], higher_is_bet
     CUSTOM_METRICS[name] = (fn, higher_is_better)
 
 
+@dataclass(frozen=True)
+class Fold:
+    """An aggregate metric: ``start`` makes a state of numbers, ``add`` takes a batch's columns into it,
+    ``merge`` joins two states, ``finish`` gives the value. States are lists of floats of one length."""
+
+    columns: tuple[str, ...]
+    start: Callable[[], list[float]]
+    add: Callable[[list[float], dict[str, pd.Series]], list[float]]
+    merge: Callable[[list[float], list[float]], list[float]]
+    finish: Callable[[list[float]], float]
+
+
+def folded(df: DataFrame, fold: Fold, by: Sequence[str] = GROUP) -> DataFrame:
+    """The group columns and the value of an aggregate metric.
+
+    Each task folds its rows batch by batch into one state for each group; only states are shuffled.
+    """
+    by = list(by)
+    fields = [df.schema[c] for c in by]
+    schema = T.StructType([*fields, T.StructField("_state", T.ArrayType(T.DoubleType()))])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states: dict[tuple, list[float]] = {}
+        types: list[pa.DataType] = []
+        for batch in batches:
+            types = [batch.schema.field(c).type for c in by]
+            places: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in by), strict=True)):
+                places.setdefault(key, []).append(i)
+            for key, at in places.items():
+                part = batch.take(pa.array(at))
+                series = {c: part.column(c).to_pandas() for c in fold.columns}
+                states[key] = fold.add(states[key] if key in states else fold.start(), series)
+        if states:
+            keys = [pa.array([k[i] for k in states], t) for i, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array([list(map(float, s)) for s in states.values()], pa.list_(pa.float64()))], [*by, "_state"])
+
+    @F.arrow_udf("double")
+    def merged(states: pa.Array) -> float:
+        out = fold.start()
+        for s in states.to_pylist():
+            out = fold.merge(out, s)
+        return float(fold.finish(out))
+
+    parts = df.select(*by, *[c for c in fold.columns if c not in by]).mapInArrow(partial, schema)
+    return parts.groupBy(*by).agg(merged("_state").alias("value"))
+
+
+def fold_metric(name: str, fold: Fold, higher_is_better: bool = True) -> None:
+    """Register an aggregate metric over the predictions."""
+    custom_metric(name, lambda df: folded(df, fold), higher_is_better)
+
+
+def best_and_worst(values: DataFrame) -> DataFrame:
+    """Of ``(dataset, model, metric, value)`` the best and the worst model for each dataset and metric.
+
+    Smaller is better for metrics registered so and for ``LOWER_IS_BETTER``; equal values go to the first
+    model by name. Null values take no part.
+    """
+    lower = [*LOWER_IS_BETTER, *(n for n, (_, up) in CUSTOM_METRICS.items() if not up)]
+    signed = F.when(F.col("metric").isin(*lower), -F.col("value")).otherwise(F.col("value"))
+    rows = values.filter("value IS NOT NULL").withColumn("_s", signed)
+    return rows.groupBy("dataset", "metric").agg(
+        F.min_by("model", F.struct(-F.col("_s"), F.col("model"))).alias("best_model"),
+        F.min_by("value", F.struct(-F.col("_s"), F.col("model"))).alias("best_value"),
+        F.min_by("model", F.struct(F.col("_s"), F.col("model"))).alias("worst_model"),
+        F.min_by("value", F.struct(F.col("_s"), F.col("model"))).alias("worst_value"),
+    )
+
+
+LOWER_IS_BETTER = ("perplexity", "ter", "self_bleu")
 #: metrics of texts alone, and those that need columns of their own
 TEXT_METRICS = ("rouge", "bleu", "meteor", "distinct", "chrf", "exact_match", "f1", "ter", "self_bleu")
 COLUMN_METRICS = {"bertscore": ("prediction_vectors", "reference_vectors"), "perplexity": ("loss", "n_tokens")}
@@ -221,6 +334,8 @@ def calculate_all(df: DataFrame, metrics: Sequence[str] = TEXT_METRICS, custom:
         lacking = [c for c in COLUMN_METRICS.get(name, ()) if c not in df.columns]
         if lacking:
             raise ValueError(f"Metric {name} needs the columns {lacking}")
+    if not metrics and not custom:
+        raise ValueError("no metric is asked for")
     # every metric reads the predictions again, so they are stored once
     df = durable(df)
     parts: list[DataFrame] = []

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.cuts import seeded_key, unit_interval, with_cuts
 from tablewright.operators.scan import RowNumber, scan
+from tablewright.operators.selection import GROUP_LIMIT, first_per_group, values_at
 from tablewright.operators.sized import pinned
 
 DEFAULT_RATIOS = {"train": 0.9, "validation": 0.05, "test": 0.05}
@@ -82,19 +83,17 @@ def split_sequential(
     minimums: Mapping[str, int] = DEFAULT_MINIMUMS,
     row_id: str = "row_id",
 ) -> DataFrame:
-    """The same sizes in id order. Only ids are scanned; rows are compared with the
-    three bounding ids."""
+    """The same sizes in id order. The three bounding ids are found by counting, and rows are
+    compared with them."""
     validate_ratios(ratios)
-    spark = df.sparkSession
-    total = df.count()
-    counts = spark.range(1).select(
-        *[c.alias(n) for n, c in _bounds(F.lit(total), ratios, minimums).items()]
-    ).first().asDict()
-    numbered = scan(df.select(row_id), [], [row_id], RowNumber("_rn"))
-    edges = numbered.filter(F.col("_rn").isin(*[int(v) for v in counts.values()])).collect()  # three rows
-    at = {r["_rn"]: r[row_id] for r in edges}
+
+    def wanted(total: Column) -> Column:
+        return F.array(*[F.struct(F.lit(n).alias("name"), (k - 1).cast("long").alias("k")) for n, k in _bounds(total, ratios, minimums).items()])
+
+    at = {r["name"]: r[row_id] for r in values_at(df, [], row_id, wanted).collect()}  # three rows
+    names = _bounds(F.lit(0), ratios, minimums)
     flags = [
-        (F.col(row_id) <= F.lit(at[k]) if k in at else F.lit(False)).alias(n) for n, k in counts.items()
+        (F.col(row_id) <= F.lit(at[n]) if n in at else F.lit(False)).alias(n) for n in names
     ]
     return _name_split(df.select("*", *flags))
 
@@ -131,14 +130,17 @@ def shuffle(df: DataFrame, seed: int = 42, row_id: str = "row_id") -> DataFrame:
 
 
 def head_n(df: DataFrame, n: int, by: str = "dataset", row_id: str = "row_id") -> DataFrame:
-    """The first n rows of every dataset in id order.
+    """The first n rows of every dataset in id order: those up to its n-th id.
 
-    The scan carries ids only; the n-th id of each dataset then bounds the table.
+    A small n is found by what tasks keep of each dataset, a large one by counting.
     """
     if n <= 0:
         return df.limit(0)
-    numbered = scan(df.select(by, row_id), [by], [row_id], RowNumber("_rn"))
-    bound = numbered.filter(F.col("_rn") == n).select(F.col(by).alias("_by"), F.col(row_id).alias("_last"))
+    if n <= GROUP_LIMIT:
+        nth = first_per_group(df.select(by, row_id), [by], [F.col(row_id).asc()], n, "_rn").filter(F.col("_rn") == n)
+    else:
+        nth = values_at(df, [by], row_id, lambda total: F.array(F.struct(F.lit(n - 1).cast("long").alias("k"))))
+    bound = nth.select(F.col(by).alias("_by"), F.col(row_id).alias("_last"))
     return (
         df.join(pinned(bound), F.col(by).eqNullSafe(F.col("_by")), "left")
         .filter(F.col("_last").isNull() | (F.col(row_id) <= F.col("_last")))

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from tablewright.functions import text as tx
 from tablewright.functions.language import detect_language
 from tablewright.operators.cuts import with_cuts
-from tablewright.operators.scan import Running, scan
-from tablewright.operators.sized import lookup
+from tablewright.operators.dedup import duplicate_count
+from tablewright.operators.selection import values_at
 from tablewright.operators.tokens import PERCENTILES, count_statistics, percentile_list
 
 
@@ -97,6 +97,32 @@ def profile(df: DataFrame, columns: Sequence[str], points: Sequence[float] = PER
     return out
 
 
+def full_profile(
+    df: DataFrame, columns: Sequence[str], subset: Sequence[str] | None = None, text: str | None = None, points: Sequence[float] = PERCENTILES
+) -> DataFrame:
+    """``profile`` and, in the same long form: the columns' names with their places, the rows that a dedup on
+    ``subset`` removes, the lengths of all ``columns`` together, and the languages of ``text``."""
+    out = profile(df, columns, points)
+
+    def more(frame: DataFrame, section: str, column: Column, stat: Column, value: Column) -> DataFrame:
+        return frame.select(F.lit(section).alias("section"), column.alias("column"), stat.alias("stat"), value.cast("double").alias("value"))
+
+    names = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.lit(i).alias("i")) for i, c in enumerate(df.columns)])).alias("x")
+    places = df.sparkSession.range(1).select(names)
+    out = out.unionByName(more(places, "columns", F.col("x.c"), F.lit("place"), F.col("x.i")))
+    repeated = duplicate_count(df.withColumn("_all", F.lit(0)), subset or columns, ["_all"])
+    out = out.unionByName(more(repeated, "duplicates", F.lit("*"), F.lit("n_duplicates"), F.col("n_duplicates")))
+    size = sum((F.coalesce(F.length(F.col(c)), F.lit(0)) for c in columns[1:]), F.coalesce(F.length(F.col(columns[0])), F.lit(0)))
+    whole = df.agg(
+        F.avg(size).alias("mean"), F.stddev_pop(size).alias("std"), F.min(size).alias("min"), F.max(size).alias("max"), F.sum(size.cast("long")).alias("sum")
+    )
+    facts = F.explode(F.array(*[F.struct(F.lit(c).alias("stat"), F.col(c).cast("double").alias("value")) for c in whole.columns])).alias("x")
+    out = out.unionByName(more(whole.select(facts), "total_length", F.lit("*"), F.col("x.stat"), F.col("x.value")))
+    if text is not None:
+        out = out.unionByName(more(language_distribution(df, text), "languages", F.lit(text), F.col("detected"), F.col("n")))
+    return out
+
+
 def sample_rows(df: DataFrame, n: int = 10_000, seed: int = 42, row_id: str = "row_id") -> DataFrame:
     """The n rows with the smallest seeded keys, found without a global sort."""
     return with_cuts(df, row_id, seed, lambda total: {"_in": F.lit(n)}).filter("_in").drop("_in")
@@ -131,36 +157,21 @@ def top_k(df: DataFrame, by: str, k: int, tie: str, largest: bool = True) -> Dat
 def exact_percentiles(
     df: DataFrame, group: Sequence[str], value: str, points: Sequence[float]
 ) -> DataFrame:
-    """Linear percentiles of a column with any number of distinct values.
+    """Linear percentiles of a column with any number of distinct values, found by counting.
 
-    Equal values collapse first; a scan then gives the rows up to each value, and
-    only the values on both sides of a wanted rank are kept.
+    A null group has percentiles like any other.
     """
     group = list(group)
-    counted = (
-        df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    upto = scan(counted, group, [value], Running("_upto", "sum", F.col("_n")))
-    if group:
-        totals = counted.groupBy(*group).agg(F.sum("_n").alias("_total"))
-        joined = lookup(upto, totals, group, "inner", weight="_total")
-    else:
-        joined = upto.withColumn("_total", F.lit(df.filter(F.col(value).isNotNull()).count()))
-    wanted = F.array(*[F.lit(float(p)) for p in points])
-    spot = F.col("p") / 100.0 * (F.col("_total") - 1)
-    low, high = F.floor(spot), F.ceil(spot)
-    first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
-    near = (
-        joined.select("*", F.explode(wanted).alias("p"))
-        .filter(low.between(first, last) | high.between(first, last))
-        .groupBy(*group, "p")
-        .agg(
-            F.first(spot).alias("_spot"),
-            F.min(value).alias("_lo"),
-            F.max(value).alias("_hi"),
-        )
+
+    def wanted(total: Column) -> Column:
+        spots = []
+        for p in map(float, points):
+            spot = F.lit(p) / 100.0 * (total - 1)
+            spots += [F.struct(F.lit(p).alias("p"), spot.alias("_spot"), f(spot).cast("long").alias("k")) for f in (F.floor, F.ceil)]
+        return F.array(*spots)
+
+    near = values_at(df, group, value, wanted).groupBy(*group, "p").agg(
+        F.first("_spot").alias("_spot"), F.min(value).alias("_lo"), F.max(value).alias("_hi")
     )
     weight = F.col("_spot") - F.floor("_spot")
     return near.select(*group, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * weight).alias("value"))
-
-

@@ -32,7 +32,7 @@ def build_vocab(
     )
     order = [F.col("n").desc(), F.col("token").asc()]
     if size is None:
-        ranked = scan(counts, [], order, RowNumber("rank"))
+        ranked = scan(counts, [], [-F.col("n"), "token"], RowNumber("rank"))
     else:
         # the vocabulary size bounds the rows that reach this window
         top = counts.orderBy(*order).limit(max(size - len(specials), 0))

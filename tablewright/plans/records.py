@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.functions import profiles as lp
 from tablewright.functions import text as tx
 from tablewright.functions.language import STOP_WORDS, detect_language
 from tablewright.operators import clean as cl
@@ -17,7 +18,7 @@ from tablewright.operators import templates as tp
 from tablewright.operators import tokens as tk
 from tablewright.operators import validate as va
 from tablewright.operators.scan import RowNumber, scan
-from tablewright.plans.registry import query
+from tablewright.plans.registry import SQL, query
 from tablewright.plans.views import (
     DOC_RECORDS,
     PAIRS,
@@ -246,6 +247,48 @@ def language_distribution(spark, sf):
     return st.language_distribution(table(spark, sf, "documents"), "text", by=["lang"])
 
 
+_LOWER_WORDS = "regexp_extract_all(lower(text), '\\p{L}+')"
+PROFILES = f"""words AS (SELECT doc_id, lang, unnest({_LOWER_WORDS}) AS w FROM documents),
+grams AS (SELECT doc_id, lang, unnest(list_transform(range(1, CAST(length(w) AS BIGINT) + 1), lambda i: substr(' ' || w || ' ', i, 3))) AS gram FROM words),
+counts AS (SELECT lang, gram, count(*) AS n FROM grams WHERE lang IS NOT NULL GROUP BY ALL),
+totals AS (SELECT lang, sum(n) + count(*) + 1 AS "all" FROM counts GROUP BY lang),
+top AS (SELECT lang, gram, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS rn FROM counts) WHERE rn <= 500
+  UNION ALL SELECT lang, '', 0 FROM totals),
+profiles AS (SELECT lang, gram, CAST(floor(1000 * ln((n + 1) / CAST("all" AS DOUBLE))) AS BIGINT) AS points FROM top JOIN totals USING (lang))"""
+PROFILED = f"""{PROFILES}, seen AS (SELECT doc_id, gram, count(*) AS n FROM grams GROUP BY ALL),
+scored AS (SELECT s.doc_id, o.lang, sum(s.n * coalesce(p.points, o.points)) AS points
+  FROM seen s JOIN profiles o ON o.gram = '' LEFT JOIN profiles p ON p.lang = o.lang AND p.gram = s.gram GROUP BY ALL),
+best AS (SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY points DESC, lang) AS rn FROM scored) WHERE rn = 1),
+profiled AS (SELECT d.doc_id, coalesce(b.lang, 'und') AS detected FROM documents d LEFT JOIN best b USING (doc_id))"""
+
+
+@query("language_profiles", f"WITH {PROFILES} SELECT lang, gram, points FROM profiles")
+def language_profiles(spark, sf):
+    return lp.learn_profiles(table(spark, sf, "documents"), "text", "lang")
+
+
+def _profiled(spark, sf):
+    docs = table(spark, sf, "documents")
+    return lp.profiled_language(docs, "text", lp.learn_profiles(docs, "text", "lang"), "doc_id")
+
+
+@query("profiled_language", f"WITH {PROFILED} SELECT doc_id, detected FROM profiled")
+def profiled_language(spark, sf):
+    return _profiled(spark, sf)
+
+
+@query(
+    "expected_languages",
+    f"""WITH {PROFILED}, counted AS (SELECT detected AS lang, count(*) AS n FROM profiled GROUP BY 1),
+    wanted AS (SELECT unnest(['de', 'en', 'it']) AS lang, true AS expected)
+    SELECT lang, coalesce(n, 0) AS n, coalesce(expected, false) AS expected,
+      CASE WHEN n IS NULL THEN 'missing' WHEN expected THEN 'present' ELSE 'unexpected' END AS status
+    FROM counted FULL JOIN wanted USING (lang)""",
+)
+def expected_languages(spark, sf):
+    return lp.expected_languages(_profiled(spark, sf), ["de", "en", "it"])
+
+
 @query(
     "is_eval_filter",
     """WITH named AS (SELECT 'docs' AS dataset, doc_id AS row_id FROM documents UNION ALL SELECT 'bench', item_id FROM benchmark)
@@ -652,6 +695,22 @@ def profile(spark, sf):
     return st.profile(doc_records(spark, sf), FIELDS)
 
 
+_TOTAL = " + ".join(f"coalesce(length({c}), 0)" for c in FIELDS)
+FULL_PROFILE = f"""WITH base AS ({SQL["profile"]}), {D.removeprefix("WITH ")}, sizes AS (SELECT {_TOTAL} AS n FROM doc_records),
+    copies AS (SELECT count(*) AS c FROM doc_records GROUP BY {', '.join(FIELDS)}),
+    spoken AS (SELECT CASE WHEN best.n > 0 THEN best.lang ELSE 'und' END AS lang FROM (SELECT {_lang_sql('output')} AS best FROM doc_records))
+    SELECT * FROM base
+    UNION ALL SELECT 'columns', unnest({ALL_FIELDS!r}), 'place', CAST(unnest(range({len(ALL_FIELDS)})) AS DOUBLE)
+    UNION ALL SELECT 'duplicates', '*', 'n_duplicates', CAST(sum(c - 1) AS DOUBLE) FROM copies
+    UNION ALL SELECT 'total_length', '*', unnest(['mean', 'std', 'min', 'max', 'sum']), unnest([avg(n), stddev_pop(n), min(n), max(n), sum(n)]::DOUBLE[]) FROM sizes
+    UNION ALL SELECT 'languages', 'output', coalesce(lang, 'und'), CAST(count(*) AS DOUBLE) FROM spoken GROUP BY lang"""
+
+
+@query("full_profile", FULL_PROFILE, doubles=["value"])
+def full_profile(spark, sf):
+    return st.full_profile(doc_records(spark, sf), FIELDS, FIELDS, "output")
+
+
 @query(
     "sample_rows",
     f"SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY {sql_key(42, 'doc_id')}, doc_id) AS rn FROM documents) WHERE rn <= 250",

@@ -9,6 +9,7 @@ from tablewright.operators import overlap as ov
 from tablewright.operators import reports as rp
 from tablewright.operators import scores as sc
 from tablewright.plans.registry import query
+from tablewright.plans.text_metrics import MOST, MOST_METRICS
 from tablewright.plans.views import (
     PREDICTIONS,
     REQUESTS,
@@ -19,6 +20,8 @@ from tablewright.plans.views import (
     sql_words,
     table,
 )
+from tablewright.session import fresh_folder
+from tablewright.sources import writers as wr
 
 Q = f"WITH {REQUESTS}"
 MODELS = ["base", "finetuned"]
@@ -304,6 +307,47 @@ def evaluation_report(spark, sf):
     return rp.comparison_table(sc.calculate_all(predictions(spark, sf)), MODELS)
 
 
+@query("evaluation_table", f"""WITH metrics AS ({MOST}) SELECT dataset, metric, {_shown('base')}, {_shown('finetuned')} FROM metrics GROUP BY dataset, metric""")
+def evaluation_table(spark, sf):
+    """The comparison table of the metrics that SQL can state."""
+    return rp.comparison_table(sc.calculate_all(predictions(spark, sf), MOST_METRICS), MODELS)
+
+
+REPORTED = f"WITH {METRIC_ROWS} SELECT model, dataset, metric, value FROM metrics"
+
+
+@query("write_report_csv", REPORTED, doubles=["value"])
+def write_report_csv(spark, sf):
+    path = fresh_folder(spark, "report-csv")
+    wr.write_report_csv(_metrics(spark, sf), path)
+    return spark.read.option("header", True).schema("model string, dataset string, metric string, value double").csv(path)
+
+
+@query("write_report_json", REPORTED, doubles=["value"])
+def write_report_json(spark, sf):
+    """Documents by model and dataset, read back and taken apart."""
+    path = fresh_folder(spark, "report-json")
+    wr.write_report_json(_metrics(spark, sf), path)
+    found = spark.read.schema("model string, dataset string, metrics map<string,double>").json(path)
+    return found.select("model", "dataset", F.explode("metrics").alias("metric", "value"))
+
+
+@query(
+    "write_report_markdown",
+    f"""WITH {METRIC_ROWS}, rows_of AS (SELECT dataset, metric, {_shown('base')}, {_shown('finetuned')} FROM metrics GROUP BY dataset, metric),
+    lines AS (SELECT dataset, 1 AS part, metric AS key, '| ' || metric || ' | ' || base || ' | ' || finetuned || ' |' AS line FROM rows_of
+      UNION ALL SELECT DISTINCT dataset, 0, '', '## Dataset: ' || dataset || chr(10) || chr(10) || '| Metric | base | finetuned |' || chr(10) || '|---|---|---|' FROM rows_of)
+    SELECT string_agg(line, chr(10) ORDER BY dataset, part, key) AS document FROM lines""",
+)
+def write_report_markdown(spark, sf):
+    """The whole document, read back as one text."""
+    path = fresh_folder(spark, "report-markdown")
+    lines = rp.markdown_lines(rp.comparison_table(_metrics(spark, sf), MODELS), MODELS)
+    text = "\n".join(r["line"] for r in lines.orderBy("dataset", "part", "key").collect())  # a line per dataset and metric
+    wr.write_report_markdown(spark, text, path)
+    return spark.read.text(path, wholetext=True).select(F.rtrim(F.regexp_replace("value", r"\n$", "")).alias("document"))
+
+
 @query(
     "report_lines",
     f"""WITH {METRIC_ROWS}, lines AS (SELECT dataset, metric, {_shown('base')}, {_shown('finetuned')} FROM metrics GROUP BY dataset, metric)

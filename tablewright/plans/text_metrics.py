@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tablewright.functions import alignment as al
 from tablewright.functions import text as tx
 from tablewright.operators import overlap as ov
 from tablewright.operators import scores as sc
-from tablewright.plans.registry import query
+from tablewright.plans.registry import SQL, query
 from tablewright.plans.views import (
     PREDICTIONS,
     SPACE,
@@ -81,11 +83,39 @@ def stem_tokens(spark, sf):
     return docs.select("doc_id", F.array_join(al.stem_words(tx.alnum_words("text")), " ").alias("stems"))
 
 
+def _grid(words, shape, start: str, cell: str, row: str) -> str:
+    """Dynamic programming over the words of prediction (i) and reference (j), a row of cells at a time."""
+    return f"""WITH RECURSIVE {PREDICTIONS},
+    sides AS (SELECT row_number() OVER () AS pair, {K}, {words(shape('prediction'))} AS a, {words(shape('reference'))} AS b FROM predictions),
+    own AS (SELECT pair, unnest(a) AS x, unnest(range(1, CAST(len(a) AS BIGINT) + 1)) AS i FROM sides),
+    other AS (SELECT pair, CAST(NULL AS VARCHAR) AS y, 0 AS j FROM sides UNION ALL SELECT pair, unnest(b), unnest(range(1, CAST(len(b) AS BIGINT) + 1)) FROM sides),
+    steps(pair, i, j, v) AS (
+      SELECT pair, CAST(0 AS BIGINT), CAST(j AS BIGINT), CAST({start} AS BIGINT) FROM other
+      UNION ALL SELECT pair, i, j, CAST({row} AS BIGINT) FROM (
+        SELECT s.pair, o.i, s.j, {cell} AS t FROM steps s JOIN own o ON o.pair = s.pair AND o.i = s.i + 1 JOIN other t ON t.pair = s.pair AND t.j = s.j)),
+    ends AS (SELECT s.dataset, s.model, s.example_id, len(s.a) AS n, len(s.b) AS m, v FROM sides s JOIN steps e ON e.pair = s.pair AND e.i = len(s.a) AND e.j = len(s.b))"""
+
+
+_BEFORE = "lag(s.v) OVER (PARTITION BY s.pair ORDER BY s.j)"
+LCS = _grid(sql_alnum, str, "0", f"CASE WHEN o.x = t.y THEN {_BEFORE} + 1 ELSE s.v END", "max(t) OVER (PARTITION BY pair ORDER BY j)")
+EDITS = _grid(
+    sql_words, lambda c: f"lower({c})", "j",
+    f"CASE WHEN s.j = 0 THEN o.i ELSE least(s.v + 1, {_BEFORE} + CASE WHEN o.x = t.y THEN 0 ELSE 1 END) END",
+    "j + min(t - j) OVER (PARTITION BY pair ORDER BY j)",
+)
+
+
 @query("rouge_l")
 def rouge_l(spark, sf):
     return sc.rouge_l(predictions(spark, sf))
 
 
+@query("rouge_l_words", f"{LCS} SELECT {K}, CASE WHEN v > 0 THEN 2.0 * v / (n + m) ELSE 0.0 END AS \"rougeL\" FROM ends", doubles=["rougeL"])
+def rouge_l_words(spark, sf):
+    """The part of ``rouge_l`` that SQL can state."""
+    return sc.rouge_l(predictions(spark, sf)).drop("rougeLsum")
+
+
 # --- BLEU --------------------------------------------------------------------
 
 BLEU = f"""{R}, {_sides(sql_words, 'refs')}, {_counts('tok', range(1, 5))},
@@ -255,7 +285,12 @@ def f1_token(spark, sf):
     return ov.f1_token(predictions(spark, sf))
 
 
-@query("ter")
+@query(
+    "ter",
+    f"""{EDITS} SELECT dataset, model, CAST(sum(v) AS BIGINT) AS edits, CAST(sum(m) AS BIGINT) AS ref_words,
+    CASE WHEN sum(m) > 0 THEN CAST(sum(v) AS DOUBLE) / sum(m) ELSE 0.0 END AS ter FROM ends GROUP BY dataset, model""",
+    doubles=["ter"],
+)
 def ter(spark, sf):
     return sc.ter(predictions(spark, sf))
 
@@ -367,6 +402,48 @@ def bertscore(spark, sf):
     return sc.bertscore(rows, "predicted", "reference", ["example_id"])
 
 
+def _token_vectors(spark, sf):
+    """Ten token vectors of an example, five on each side; the label stands for the token."""
+    return table(spark, sf, "embeddings").select(
+        F.floor(F.col("vec_id") / 10).alias("example_id"),
+        F.when(F.floor(F.col("vec_id") / 10) % 2 == 0, "base").otherwise("finetuned").alias("model"),
+        (F.col("vec_id") % 10 < 5).alias("predicted"),
+        (F.col("vec_id") % 5).alias("position"),
+        F.col("label").cast("string").alias("token"),
+        F.col("embedding").alias("vector"),
+    )
+
+
+IDF_SCORES = """v AS (SELECT vec_id // 10 AS example_id, CASE WHEN vec_id // 10 % 2 = 0 THEN 'base' ELSE 'finetuned' END AS model, vec_id % 10 < 5 AS predicted,
+    CAST(label AS VARCHAR) AS token, CAST(embedding AS DOUBLE[]) AS e, vec_id FROM embeddings),
+  documents_of AS (SELECT count(DISTINCT example_id) AS m FROM v WHERE NOT predicted),
+  frequency AS (SELECT token, ln((any_value(m) + 1) / (count(DISTINCT example_id) + 1)) AS idf FROM v, documents_of WHERE NOT predicted GROUP BY token),
+  weighed AS (SELECT v.*, coalesce(idf, ln(m + 1)) AS w FROM v CROSS JOIN documents_of LEFT JOIN frequency USING (token)),
+  cos AS (SELECT a.example_id, a.model, a.vec_id AS p, b.vec_id AS r, a.w AS pw, b.w AS rw, list_cosine_similarity(a.e, b.e) AS s
+    FROM weighed a JOIN weighed b ON b.example_id = a.example_id WHERE a.predicted AND NOT b.predicted),
+  pr AS (SELECT example_id, model, CASE WHEN sum(w) <> 0 THEN sum(s * w) / sum(w) ELSE 0 END AS "precision" FROM (SELECT example_id, model, p, any_value(pw) AS w, max(s) AS s FROM cos GROUP BY ALL) GROUP BY ALL),
+  re AS (SELECT example_id, CASE WHEN sum(w) <> 0 THEN sum(s * w) / sum(w) ELSE 0 END AS recall FROM (SELECT example_id, r, any_value(rw) AS w, max(s) AS s FROM cos GROUP BY ALL) GROUP BY ALL),
+  scored AS (SELECT model, example_id, "precision" AS bertscore_precision, recall AS bertscore_recall,
+    CASE WHEN "precision" + recall <> 0 THEN 2 * "precision" * recall / ("precision" + recall) ELSE 0.0 END AS bertscore_f1 FROM pr JOIN re USING (example_id))"""
+
+
+@query("bertscore_idf", f"WITH {IDF_SCORES} SELECT * FROM scored", doubles=["bertscore_precision", "bertscore_recall", "bertscore_f1"])
+def bertscore_idf(spark, sf):
+    return sc.idf_bertscore(_token_vectors(spark, sf), ["model", "example_id"])
+
+
+@query(
+    "bertscore_summary",
+    f"""WITH {IDF_SCORES}, long AS (SELECT model, 'bertscore_precision' AS metric, bertscore_precision AS v FROM scored
+      UNION ALL SELECT model, 'bertscore_recall', bertscore_recall FROM scored UNION ALL SELECT model, 'bertscore_f1', bertscore_f1 FROM scored)
+    SELECT model, metric, avg(v) AS mean, stddev_samp(v) AS std, min(v) AS min, max(v) AS max, count(v) AS n FROM long GROUP BY model, metric""",
+    doubles=["mean", "std", "min", "max"],
+)
+def bertscore_summary(spark, sf):
+    scores = sc.idf_bertscore(_token_vectors(spark, sf), ["model", "example_id"])
+    return sc.score_summary(scores, ["bertscore_precision", "bertscore_recall", "bertscore_f1"], ["model"])
+
+
 # --- collections -------------------------------------------------------------
 
 
@@ -387,6 +464,61 @@ def calculate_overlap_metrics(spark, sf):
     return sc.calculate_all(predictions(spark, sf), ["bleu", "exact_match"])
 
 
+MOST_METRICS = ["bleu", "distinct", "chrf", "f1", "ter", "self_bleu"]
+MOST = f"""SELECT dataset, model, 'bleu' AS metric, bleu AS value FROM ({SQL["corpus_bleu"]})
+  UNION ALL SELECT dataset, model, 'distinct_' || n, "distinct" FROM ({SQL["distinct_n_predictions"]})
+  UNION ALL SELECT dataset, model, 'chrf', chrf FROM ({SQL["chrf"]})
+  UNION ALL SELECT dataset, model, 'f1', f1 FROM ({SQL["f1_token"]})
+  UNION ALL SELECT dataset, model, 'ter', ter FROM ({SQL["ter"]})
+  UNION ALL SELECT dataset, model, 'self_bleu', self_bleu FROM ({SQL["self_bleu"]})"""
+
+
+@query("calculate_most", MOST, doubles=["value"])
+def calculate_most(spark, sf):
+    """The collection without ROUGE-Lsum and METEOR, which SQL can't state."""
+    return sc.calculate_all(predictions(spark, sf), MOST_METRICS)
+
+
+#: the correlation of the lengths of prediction and reference, from six sums
+LENGTH_CORRELATION = sc.Fold(
+    ("prediction", "reference"),
+    lambda: [0.0] * 6,
+    lambda state, batch: [a + float(b) for a, b in zip(state, _length_sums(batch["prediction"].str.len(), batch["reference"].str.len()))],
+    lambda x, y: [a + b for a, b in zip(x, y)],
+    lambda s: (s[0] * s[3] - s[1] * s[2]) / math.sqrt((s[0] * s[4] - s[1] ** 2) * (s[0] * s[5] - s[2] ** 2)),
+)
+
+
+def _length_sums(x, y):
+    x, y = x.astype("float64"), y.astype("float64")
+    return len(x), x.sum(), y.sum(), (x * y).sum(), (x * x).sum(), (y * y).sum()
+
+
+@query(
+    "fold_metric",
+    f"{R} SELECT dataset, model, 'length_correlation' AS metric, corr(length(prediction), length(reference)) AS value FROM predictions GROUP BY dataset, model",
+    doubles=["value"],
+)
+def fold_metric(spark, sf):
+    sc.fold_metric("length_correlation", LENGTH_CORRELATION)
+    return sc.calculate_all(predictions(spark, sf), [], ["length_correlation"])
+
+
+@query(
+    "best_and_worst",
+    f"""{R}, vals AS (SELECT dataset, model, 'length_gap' AS metric, avg(abs(length(prediction) - length(reference))) AS value, -1 AS up FROM predictions GROUP BY dataset, model
+      UNION ALL SELECT dataset, model, 'length_correlation', corr(length(prediction), length(reference)), 1 FROM predictions GROUP BY dataset, model)
+    SELECT dataset, metric, first(model ORDER BY value * up DESC, model) AS best_model, first(value ORDER BY value * up DESC, model) AS best_value,
+      first(model ORDER BY value * up, model) AS worst_model, first(value ORDER BY value * up, model) AS worst_value FROM vals GROUP BY dataset, metric""",
+    doubles=["best_value", "worst_value"],
+)
+def best_and_worst(spark, sf):
+    rows = predictions(spark, sf)
+    sc.custom_metric("length_gap", lambda df: df.groupBy(*ov.GROUP).agg(F.avg(F.abs(F.length("prediction") - F.length("reference"))).alias("value")), False)
+    sc.fold_metric("length_correlation", LENGTH_CORRELATION)
+    return sc.best_and_worst(sc.calculate_all(rows, [], ["length_gap", "length_correlation"]))
+
+
 @query(
     "custom_metric",
     f"{R} SELECT dataset, model, 'length_gap' AS metric, avg(abs(length(prediction) - length(reference))) AS value FROM predictions GROUP BY dataset, model",

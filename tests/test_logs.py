@@ -132,7 +132,7 @@ def test_whole_preparation(spark, split):
 
 
 NOT_IN_SQL = {
-    "normalize_nfkc", "rouge_n_stemmed", "stem_tokens", "rouge_l", "meteor", "ter", "calculate_all", "evaluation_report",
+    "normalize_nfkc", "rouge_n_stemmed", "stem_tokens", "rouge_l", "meteor", "calculate_all", "evaluation_report",
     "stream_late_rows",
 }
 
