@@ -51,7 +51,7 @@ from pyspark.sql.window import Window
 
 from tablewright.llm.near_dups import connected
 from tablewright.llm.tables import joined_small, shuffle_width, stored
-from tablewright.llm.textkit import LOWER, PLAIN, Runs, buffer_of, mix, slices, window_hashes, window_starts
+from tablewright.llm.textkit import LOWER, PLAIN, Runs, buffer_of, grouped, mix, slices, window_hashes, window_starts
 
 SHINGLE = 4
 PERCENT = 85
@@ -281,14 +281,15 @@ def keyed(docs: DataFrame, bands: Bands, chosen: np.ndarray) -> DataFrame:
                 node = nodes_of(piece.column("doc_id"), sets)
                 for band in both_bands(sets, bands):
                     row, key, role = keys_of(sets, band, bands, chosen)
-                    at = node[row]
-                    order = np.lexsort((at, role, key))
-                    row, key, role, at = row[order], key[order], role[order], at[order]
-                    first = np.ones(len(key), bool)
-                    first[1:] = key[1:] != key[:-1]
-                    size = np.diff(np.append(np.flatnonzero(first), len(key)))
-                    many = np.repeat(size >= LOCAL_MANY, size)
-                    columns = [pa.array(key.view(np.int64)), pa.array(at), pa.array(role), pa.array(many), pa.array(many & ~first)]
+                    order, new = grouped(key)
+                    size = np.diff(np.append(np.flatnonzero(new), len(key)))
+                    often = order[np.repeat(size >= LOCAL_MANY, size)]
+                    many, held = np.zeros(len(key), bool), np.zeros(len(key), bool)
+                    if len(often):
+                        often = often[np.lexsort((node[row[often]], role[often], key[often]))]
+                        many[often] = True
+                        held[often[1:]] = key[often[1:]] == key[often[:-1]]
+                    columns = [pa.array(key.view(np.int64)), pa.array(node[row]), pa.array(role), pa.array(many), pa.array(held)]
                     yield pa.RecordBatch.from_arrays(columns, ["key", "node", "role", "many", "held"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "key bigint, node bigint, role tinyint, many boolean, held boolean")
@@ -379,6 +380,24 @@ def folded(bits: bytes, width: int) -> np.ndarray:
     return np.bitwise_xor.reduce(words.reshape(-1, width // 64), axis=0)
 
 
+def possible(pairs: DataFrame, bits: DataFrame, bands: Bands) -> DataFrame:
+    """The pairs (a, b) that their sizes and bits leave open."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, x, y = (batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b"))
+            near = []
+            for i in range(batch.num_rows):
+                width = 8 * min(len(x[i]), len(y[i]))
+                apart = np.bitwise_count(folded(x[i], width) ^ folded(y[i], width)).sum()
+                near.append(bool(apart <= bands.differ(n[i] + m[i])))
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    side = lambda name: bits.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
+    fit = f"100 * least(n_a, n_b) >= {bands.percent} * greatest(n_a, n_b)"
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(fit).mapInArrow(run, "a bigint, b bigint")
+
+
 def candidates(left: list[tuple], right: list[tuple], bands: Bands) -> list[tuple[int, int, bool]]:
     """Pairs of nodes of different classes, among ``left`` if ``right`` is empty, that may be linked by
     their sizes and bits, and whether it is the nearest pair of its two classes here."""
@@ -466,6 +485,8 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     texts = stored(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
 
     tested = members.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    bits = stored(with_bits(texts), "bits")
+    tested = stored(possible(tested, bits, bands), "tested")
     own = same.filter("lost AND first IS NOT NULL").select(nameless(F.col("lo")).alias("a"), F.col("first").alias("b"))
     links = stored(verified(tested, texts, percent).union(own), "links")
     label = connected(links)
@@ -475,7 +496,7 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return df.join(found, F.col(node) == F.col("_node"), "left").withColumn(name, F.coalesce("_class", node)).drop("_node", "_class")
 
     named_members = classed(members, "node")
-    met = stored(across(named_members, stored(with_bits(texts), "bits"), bands), "candidates")
+    met = stored(across(named_members, bits, bands), "candidates")
     for some in (met.filter("first"), met.filter("NOT first")):
         if some.isEmpty():
             continue

@@ -35,7 +35,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-@query("op2_substring_dedup")
+@query("op2_substring_dedup", sql.REPEATS)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents"))
 
@@ -55,7 +55,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
 
-@query("op6_decontaminate")
+@query("op6_decontaminate", sql.CONTAMINATION)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -93,3 +93,19 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_ngram_jaccard", sql.JACCARD)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"))
+
+
+# parts of operators that SQL can state
+
+
+@query("quality_base", sql.QUALITY_BASE)
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measurements of op3 and its base rule."""
+    found = quality.verdicts(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+@query("shard_sizes", sql.SHARD_SIZES)
+def shard_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sizes and checksums of op7."""
+    return shards.sharded(table(spark, sf_dir, "documents")).select("doc_id", "size", "text_crc32")

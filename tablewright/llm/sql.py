@@ -109,3 +109,61 @@ reached(doc_id, other) AS (
   SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
 SELECT doc_id, any_value(len(s))::BIGINT AS n_shingles, min(other) AS component_id FROM reached JOIN sets USING (doc_id) GROUP BY doc_id
 """
+
+REPEATS = f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, {plain_words("coalesce(text, '')")} AS w FROM documents),
+windows AS (
+  SELECT id, doc_id, unnest(range(1, len(w) - 48)) AS pos,
+    unnest(list_transform(range(1, len(w) - 48), lambda i: array_to_string(w[i:i + 49], ' '))) AS window_text FROM docs WHERE len(w) >= 50),
+again AS (SELECT id, pos FROM (SELECT id, pos, doc_id, min(doc_id) OVER (PARTITION BY window_text) AS first FROM windows) WHERE first < doc_id),
+gone AS (SELECT DISTINCT id, pos + k AS place FROM again, range(50) r(k)),
+places AS (SELECT id, list(place) AS p FROM gone GROUP BY id),
+marked AS (SELECT doc_id, w, coalesce(p, []) AS p FROM docs LEFT JOIN places USING (id))
+SELECT doc_id, len(w)::BIGINT AS n_words, len(p)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN len(p) = 0 THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(p, i)) END, ' ')) AS kept_sha256 FROM marked
+"""
+
+CONTAMINATION = f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, {alnum_words('text')} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {alnum_words('text')} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS width,
+    unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + least(len(w), 10) - 1], ' '))) AS gram
+  FROM items WHERE len(w) > 0),
+widths AS (SELECT DISTINCT width FROM windows),
+grams AS (
+  SELECT id, width, unnest(range(1, len(w) - width + 2)) AS pos, unnest(list_transform(range(1, len(w) - width + 2), lambda i: array_to_string(w[i:i + width - 1], ' '))) AS gram
+  FROM docs, widths WHERE len(w) >= width),
+found AS (SELECT id, pos, width, item FROM grams JOIN windows USING (width, gram)),
+hit AS (SELECT id, count(DISTINCT place) AS n FROM (SELECT id, unnest(range(pos, pos + width)) AS place FROM (SELECT DISTINCT id, pos, width FROM found)) GROUP BY id),
+names AS (SELECT id, count(DISTINCT item) AS n_items, list_sort(list(DISTINCT item)) AS names FROM found GROUP BY id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(array_to_string(coalesce(names, []), ',')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (id) LEFT JOIN names USING (id)
+"""
+
+QUALITY_BASE = f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text, {plain_words("coalesce(text, '')")} AS w FROM documents),
+grams AS (
+  SELECT id, unnest(range(1, len(w) - 6)) AS pos, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS gram FROM docs WHERE len(w) >= 8),
+again AS (SELECT id, pos FROM (SELECT id, pos, count(*) OVER (PARTITION BY id, gram) AS n FROM grams) WHERE n > 1),
+repeated AS (SELECT id, count(DISTINCT pos + k) AS n FROM again, range(8) r(k) GROUP BY id),
+lines AS (SELECT id, unnest(string_split(text, chr(10))) AS line FROM docs),
+doubles AS (SELECT id, sum(n - 1) AS n FROM (SELECT id, line, count(*) AS n FROM lines WHERE regexp_matches(line, '[^\\x09-\\x0D\\x20]') GROUP BY ALL) GROUP BY id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(d.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+  len(w) < 20 OR 100 * coalesce(r.n, 0) > 30 * len(w) AS base_failed
+FROM docs LEFT JOIN repeated r USING (id) LEFT JOIN doubles d USING (id)
+"""
+
+SHARD_SIZES = """
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+texts AS (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
+coded AS (SELECT text, hex(encode(text)) AS h FROM texts),
+bytes AS (SELECT text, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b FROM coded),
+sums AS (SELECT text, xor(4294967295, list_reduce(list_concat([4294967295], b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS crc FROM bytes, tab)
+SELECT doc_id, (octet_length(encode(coalesce(d.text, ''))) + 1)::BIGINT AS size, crc::BIGINT AS text_crc32
+FROM documents d JOIN sums ON sums.text = coalesce(d.text, '')
+"""
