@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tablewright.operators.cuts import cut_keys, seeded_key, with_cuts
 from tablewright.operators.scan import RowNumber, scan
 from tablewright.operators.sized import lookup
+from tablewright.session import durable
 
 STRATEGIES = ("proportional", "equal", "custom")
 SHOWN = 20
@@ -103,7 +104,7 @@ def interleave(
     A row's round is its number in its source, and its position the number of rows before it by round
     and source: two scans, for any number of sources of any size.
     """
-    numbered = scan(df, [source], [row_id], RowNumber("_round"))
+    numbered = durable(scan(df, [source], [row_id], RowNumber("_round")))
     out = scan(numbered, [], ["_round", source], RowNumber("_place")).withColumn("position", F.col("_place") - 1)
     if stop_on_shortest:
         least = df.groupBy(source).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).first()[0]
@@ -171,7 +172,7 @@ def curriculum(
     first = F.create_map(*[F.lit(x) for i, start, *_ in stages for x in (i, start)])[F.col("stage")].cast("long")
 
     order_key = seeded_key(F.concat_ws(":", F.col("stage").cast("string"), F.col(row_id).cast("string"), F.col("copy").cast("string")), seed)
-    dealt = scan(drawn.withColumn("_key", order_key), ["stage"], ["_key", row_id, "copy"], RowNumber("_rn"))
+    dealt = scan(durable(drawn.withColumn("_key", order_key)), ["stage"], ["_key", row_id, "copy"], RowNumber("_rn"))
     step = first + F.floor((F.col("_rn") - 1) / batch)
     return dealt.withColumn("step", step.cast("long")).drop("_key", "_rn")
 

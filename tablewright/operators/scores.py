@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tablewright.functions import alignment as al
 from tablewright.functions import text as tx
 from tablewright.operators import overlap as ov
-from tablewright.operators.sized import lookup, task_count
+from tablewright.operators.sized import lookup, pinned, task_count
 from tablewright.session import durable
 
 GROUP = ov.GROUP
@@ -53,7 +53,8 @@ def meteor(
     synonyms: dict[str, str] | None = None,
 ) -> DataFrame:
     refs = F.col(references) if isinstance(references, str) else references
-    return df.select(
+    # one row is much work, and a table of few files few tasks
+    return df.repartition(task_count(df), *keys).select(
         *keys,
         al.meteor_udf(synonyms=synonyms)(tx.words(prediction), F.transform(refs, tx.words)).alias("meteor"),
     )
@@ -67,7 +68,9 @@ def ter(
     shape = (lambda c: F.col(c)) if case_sensitive else (lambda c: F.lower(F.col(c)))
     edits = al.word_edits_udf(tx.words(shape(prediction)), tx.words(shape(reference)))
     sums = (
-        df.select(*by, edits.alias("_e"), tx.word_count(shape(reference)).alias("_n"))
+        df.select(*by, prediction, reference)
+        .repartition(task_count(df))
+        .select(*by, edits.alias("_e"), tx.word_count(shape(reference)).alias("_n"))
         .groupBy(*by)
         .agg(F.sum("_e").alias("edits"), F.sum("_n").alias("ref_words"))
     )
@@ -143,28 +146,48 @@ def vocabulary_size(df: DataFrame, column: str) -> int:
 def ngram_lm_score(
     df: DataFrame, column: str, model: DataFrame, vocabulary: int, row_id: str = "row_id", k: float = 1.0
 ) -> DataFrame:
-    """Perplexity of every text of two or more words under add-k bigrams."""
+    """Perplexity of every text of two or more words under add-k bigrams.
+
+    Pairs travel as 128-bit hashes. A pair of the model brings the count of its first word along, so only
+    pairs that the model lacks are joined with first words, after each text's known pairs have become one row.
+    """
     # texts are dealt out by row, and counting their pairs keeps that layout
+    pair = [*_hashes("_pair", "prev", "word"), *_hashes("_head", "prev")]
     own = (
         df.select(row_id, column)
         .repartition(task_count(df), row_id)
         .select(row_id, F.inline(_bigrams(tx.words(column))))
-        .groupBy(row_id, "prev", "word")
+        .select(row_id, *pair)
+        .groupBy(row_id, *_NAMES["_pair"], *_NAMES["_head"])
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    seen = lookup(own, model.select("prev", "word", "n"), ["prev", "word"], weight="n")
-    # a pair the model lacks may still have a known first word
-    heads = model.groupBy("prev").agg(F.max("n_prev").alias("n_prev"))
-    scored = lookup(seen, heads, ["prev"], weight="n_prev")
-    p = (F.coalesce("n", F.lit(0)) + k) / (F.coalesce("n_prev", F.lit(0)) + k * vocabulary)
-    return scored.groupBy(row_id).agg(
-        F.exp(-F.sum(F.col("_c") * F.log(p)) / F.sum("_c")).alias("perplexity"), F.sum("_c").alias("n_bigrams")
+    known = model.select(*_hashes("_pair", "prev", "word"), "n", "n_prev")
+    seen = lookup(own, known, _NAMES["_pair"], weight="n")
+    met = F.col("n").isNotNull()
+    point = F.col("_c") * F.log((F.col("n") + k) / (F.col("n_prev") + k * vocabulary))
+    open_ = [F.when(~met, F.col(h)).alias(h) for h in _NAMES["_head"]]
+    rows = seen.groupBy(row_id, *open_).agg(F.sum(point).alias("_sum"), F.sum("_c").alias("_n"), F.max(met).alias("_met"))
+    rows = durable(rows)
+    heads = model.groupBy(*_hashes("_head", "prev")).agg(F.max("n_prev").alias("n_prev"))
+    new = lookup(rows.filter("NOT _met").drop("_sum"), heads, _NAMES["_head"], weight="n_prev")
+    unseen = F.col("_n") * F.log(F.lit(float(k)) / (F.coalesce("n_prev", F.lit(0)) + k * vocabulary))
+    both = rows.filter("_met").select(row_id, "_sum", "_n").unionByName(new.select(row_id, unseen.alias("_sum"), "_n"))
+    return both.groupBy(row_id).agg(
+        F.exp(-F.sum("_sum") / F.sum("_n")).alias("perplexity"), F.sum("_n").alias("n_bigrams")
     )
 
 
+_NAMES = {name: [f"{name}{i}" for i in (0, 1)] for name in ("_pair", "_head")}
+
+
+def _hashes(name: str, *columns: str) -> list[Column]:
+    """Two independent 64-bit hashes of a tuple of texts."""
+    return [F.xxhash64(*columns).alias(f"{name}0"), F.xxhash64(F.lit(1), *reversed(columns)).alias(f"{name}1")]
+
+
 def perplexity_filter(df: DataFrame, scores: DataFrame, limit: float, row_id: str = "row_id") -> DataFrame:
     """Rows at or below the limit; rows too short for a score stay."""
-    return df.join(scores.filter(F.col("perplexity") > limit).select(row_id), row_id, "left_anti")
+    return df.join(pinned(scores.filter(F.col("perplexity") > limit).select(row_id)), row_id, "left_anti")
 
 
 # --- embeddings --------------------------------------------------------------

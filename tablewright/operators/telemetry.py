@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.scan import Neighbour, RowNumber, Running, scan
+from tablewright.session import durable
 
 
 def metric_summary(
@@ -243,7 +244,7 @@ def session_activity(
     """
     by = list(by)
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    gaps = scan(df.select(*by, ts, tie), by, [ts, tie], Neighbour("_before", at))
+    gaps = durable(scan(df.select(*by, ts, tie), by, [ts, tie], Neighbour("_before", at)))
     opens = (F.col("_before").isNull() | (at - F.col("_before") > gap_seconds * 1_000_000)).cast("long")
     numbered = scan(gaps, by, [ts, tie], Running("session", "sum", opens))
     return numbered.groupBy(*by, "session").agg(

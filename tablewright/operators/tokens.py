@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
@@ -15,6 +15,8 @@ from tablewright.operators.scan import RowNumber, Running, scan
 from tablewright.operators.sized import lookup, small_table
 from tablewright.session import durable
 
+#: rows that one window may number
+WINDOW_ROWS = 1_000_000
 SPECIALS = ("<pad>", "<unk>", "<s>", "</s>")
 PERCENTILES = (0, 25, 50, 75, 90, 95, 99, 100)
 
@@ -31,8 +33,9 @@ def build_vocab(
         .filter(F.col("n") >= min_count)
     )
     order = [F.col("n").desc(), F.col("token").asc()]
-    if size is None:
-        ranked = scan(counts, [], [-F.col("n"), "token"], RowNumber("rank"))
+    if size is None or size > WINDOW_ROWS:
+        ranked = scan(durable(counts), [], [-F.col("n"), "token"], RowNumber("rank"))
+        ranked = ranked if size is None else ranked.filter(F.col("rank") <= size - len(specials))
     else:
         # the vocabulary size bounds the rows that reach this window
         top = counts.orderBy(*order).limit(max(size - len(specials), 0))
@@ -58,12 +61,15 @@ def _vocab_lookup(df: DataFrame, table: pa.Table, unknown: int) -> Callable:
     )
 
     @F.arrow_udf("array<int>")
-    def to_ids(batch: pa.Array) -> pa.Array:
+    def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens, ids = shared.value
-        flat = batch.flatten()
-        found = pc.take(ids, pc.index_in(flat.cast(tokens.type), value_set=tokens))
-        offsets = pc.subtract(batch.offsets, batch.offsets[0])
-        return pa.ListArray.from_arrays(offsets, pc.fill_null(found, unknown).cast(pa.int32()))
+        known = dict(zip(tokens.to_pylist(), ids.to_pylist()))  # hashed once for a task
+        for batch in batches:
+            # distinct tokens of a batch are looked up once
+            flat = batch.flatten().dictionary_encode()
+            found = pa.array([known.get(t, unknown) for t in flat.dictionary.to_pylist()], pa.int32())
+            offsets = pc.subtract(batch.offsets, batch.offsets[0])
+            yield pa.ListArray.from_arrays(offsets, found.take(flat.indices))
 
     return to_ids
 
@@ -116,8 +122,8 @@ def encode(
     return out.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
 
 
-def encode_with(df: DataFrame, column: str, tokenizer: Callable[[str], Sequence[int]], max_length: int = 2048) -> DataFrame:
-    """Encoding by a caller's own tokenizer, batched through Arrow."""
+def encode_with(df: DataFrame, column: str, tokenizer: Callable[[str], Sequence[int]], max_length: int | None = None) -> DataFrame:
+    """Encoding by a caller's own tokenizer, batched through Arrow; ``max_length`` cuts the ids if given."""
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: list(tokenizer(t or ""))[:max_length])
@@ -128,7 +134,8 @@ def encode_with(df: DataFrame, column: str, tokenizer: Callable[[str], Sequence[
 
 
 def assign_batches(df: DataFrame, size: int, row_id: str = "row_id", drop_last: bool = False) -> DataFrame:
-    """Consecutive batches of ``size`` rows in id order."""
+    """Consecutive batches of ``size`` rows in id order. The rows, often encoded ones, are stored first."""
+    df = durable(df)
     numbered = scan(df, [], [row_id], RowNumber("_rn"))
     batch = F.floor((F.col("_rn") - 1) / size).cast("long")
     out = numbered.withColumn("batch", batch)
@@ -165,19 +172,18 @@ def pack_sequences(
 ) -> DataFrame:
     """Token lists joined in id order and cut into blocks of equal size.
 
-    Only ids and lengths go through the ordered scan. Each list is then sliced at the
-    block bounds, and a block never holds more than ``block`` tokens.
+    The lists are stored, because the scan reads their lengths before it moves them, once. Each list is
+    then sliced at the block bounds, and a block never holds more than ``block`` tokens.
     """
     shard = list(shard)
     df = durable(df.select(*shard, row_id, "input_ids"))
-    sizes = df.select(*shard, row_id, F.size("input_ids").cast("long").alias("_size")).filter("_size > 0")
-    starts = scan(sizes, shard, [row_id], Running("_start", "sum", F.col("_size"), inclusive=False))
-    starts = starts.select(row_id, F.coalesce("_start", F.lit(0).cast("long")).alias("_start"), "_size")
+    sized = df.withColumn("_size", F.size("input_ids").cast("long")).filter("_size > 0")
+    placed = scan(sized, shard, [row_id], Running("_start", "sum", F.col("_size"), inclusive=False))
+    placed = placed.withColumn("_start", F.coalesce("_start", F.lit(0).cast("long")))
     first = F.floor(F.col("_start") / block)
     last = F.floor((F.col("_start") + F.col("_size") - 1) / block)
     cut = (
-        lookup(df, starts, [row_id], "inner")
-        .select(*shard, "_start", "_size", "input_ids", F.explode(F.sequence(first, last)).alias("block"))
+        placed.select(*shard, "_start", "_size", "input_ids", F.explode(F.sequence(first, last)).alias("block"))
         .withColumn("_from", F.greatest(F.col("block") * block, F.col("_start")))
         .withColumn("_to", F.least((F.col("block") + 1) * block, F.col("_start") + F.col("_size")))
         .select(

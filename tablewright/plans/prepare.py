@@ -1,4 +1,4 @@
-"""The stages of data preparation in one lazy plan."""
+"""The stages of data preparation, stored where they are read more than once."""
 
 from __future__ import annotations
 
@@ -45,13 +45,13 @@ class Settings:
 def prepare(df: DataFrame, settings: Settings = Settings(), row_id: str = "row_id") -> DataFrame:
     """Records to split, formatted and optionally encoded rows.
 
-    Cleaning decides the same for equal rows, so one dedup after it is enough. Splits
-    read the rows several times, so what precedes them is stored once.
+    Cleaning decides the same for equal rows, so one dedup after it is enough. Dedup and splits read
+    the rows several times, so what precedes them is stored.
     """
     s = settings
     rows = va.validate(df, s.rules)
     rows = cl.clean(rows, s.strip, s.unicode_form, s.markup, s.cleaners)
-    rows = dd.dedup(rows, s.duplicates, row_id)
+    rows = dd.dedup(durable(rows), s.duplicates, row_id)
     kept = [row_id, *[c for c in ("dataset", s.stratify_by) if c and c in rows.columns]]
     rows = tp.format_table(
         rows, s.template, keep_columns=s.keep_columns, ids=list(dict.fromkeys(kept)), eos=s.eos, **s.template_options

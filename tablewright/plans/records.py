@@ -617,6 +617,18 @@ def analyze_sequences(spark, sf):
     return tk.analyze_sequences(_encoded(spark, sf, max_length=512), 512)
 
 
+@query(
+    "analyze_sequences_whole",
+    f"""SELECT count(*) AS n_sequences, avg(size) AS mean, stddev_pop(size) AS std, min(size) AS min, max(size) AS max,
+    count(*) FILTER (size >= 512) AS at_limit, avg(CASE WHEN size >= 512 THEN 1.0 ELSE 0.0 END) AS at_limit_ratio, {_pct_sql('size')}
+    FROM ({WORDS_PER_DOC})""",
+    doubles=["mean", "std", "at_limit_ratio", *PCT_NAMES],
+)
+def analyze_sequences_whole(spark, sf):
+    """Whole sequences against the limit."""
+    return tk.analyze_sequences(_encoded(spark, sf), 512)
+
+
 @query(
     "pack_sequences",
     f"""WITH {ENCODED}, spans AS (

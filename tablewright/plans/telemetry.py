@@ -33,6 +33,7 @@ from tablewright.plans.views import (
 from tablewright.session import fresh_folder
 from tablewright.sources import readers as rd
 from tablewright.sources import writers as wr
+from tablewright.streaming import plateau_state as ps
 from tablewright.streaming import streams as ss
 
 L, Q = f"WITH {METRIC_LOG}", f"WITH {REQUESTS}"
@@ -225,21 +226,30 @@ def stream_running_stats(spark, sf):
     return ss.run_update_to_parquet(stats, "running", ["event_type"])
 
 
-@query(
-    "stream_plateau",
-    f"""WITH RECURSIVE {METRIC_LOG}, evals AS (SELECT run, value, row_number() OVER (PARTITION BY run ORDER BY step) AS i FROM metric_log),
+PLATEAUS = f"""WITH RECURSIVE {METRIC_LOG}, evals AS (SELECT run, value, row_number() OVER (PARTITION BY run ORDER BY step) AS i FROM metric_log),
     state AS (
       SELECT run, i, value AS best, CAST(0 AS BIGINT) AS misses FROM evals WHERE i = 1
       UNION ALL
       SELECT e.run, e.i, CASE WHEN e.value < s.best - 0.5 THEN e.value ELSE s.best END, CASE WHEN e.value < s.best - 0.5 THEN 0 ELSE s.misses + 1 END
       FROM state s JOIN evals e ON e.run = s.run AND e.i = s.i + 1 WHERE s.misses < 8)
-    SELECT run, best, i AS stop_evaluation FROM state WHERE misses = 8""",
-)
+    SELECT run, best, i AS stop_evaluation FROM state WHERE misses = 8"""
+
+
+@query("stream_plateau", PLATEAUS)
 def stream_plateau(spark, sf):
     stream = _event_stream(spark, sf).select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), "value")
     return ss.run_to_parquet(ss.stream_plateau(stream, ["run"], "step", "value", 8, 0.5), "plateau")
 
 
+@query("stream_plateau_state", PLATEAUS)
+def stream_plateau_state(spark, sf):
+    """The same with a value state and an ordered buffer."""
+    stream = _event_stream(spark, sf).select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), "value")
+    with ps.rocksdb_state(spark):
+        found = ss.run_to_parquet(ps.stateful_plateau(stream, ["run"], "step", "value", 8, 0.5), "plateau-state")
+    return found.drop("late_rows")
+
+
 @query("stream_late_rows")
 def stream_late_rows(spark, sf):
     """The events in three files, newest days first.
@@ -260,8 +270,34 @@ def stream_late_rows(spark, sf):
     def write(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{out}/part={batch_id}")
 
-    finished = ss.run_foreach(counted, "late", write)
-    return spark.read.parquet(out).drop("part").withColumn("late_rows", F.lit(ss.late_rows(finished)))
+    with ss.LateRows(spark) as late:
+        finished = ss.run_foreach(counted, "late", write)
+    return spark.read.parquet(out).drop("part").withColumn("late_rows", F.lit(late.of(finished)))
+
+
+LATE_FILES = 8
+
+
+@query(
+    "stream_late_events",
+    f"""WITH parts AS (SELECT event_id, event_id % {LATE_FILES} AS batch, epoch_us(ts) // 1000 AS ms FROM events),
+    marks AS (SELECT batch, max(max(ms)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 7200000 AS mark FROM parts GROUP BY batch)
+    SELECT count(*) AS n_events, count(*) FILTER (ms > coalesce(mark, -1)) AS n_kept, count(*) FILTER (ms <= coalesce(mark, -1)) AS late_rows
+    FROM parts JOIN marks USING (batch)""",
+)
+def stream_late_events(spark, sf):
+    """Distinct events of eight batches, each over the whole time: what a batch holds from before the
+    watermark of the batch before the last is dropped and counted, row by row."""
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    folder = fresh_folder(spark, "late-events")
+    for k in range(LATE_FILES):
+        events.filter(F.col("event_id") % LATE_FILES == k).coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(0.05)  # the file source takes older files first
+    stream = ss.read_stream(spark, folder, events.schema, "parquet", files_per_trigger=1)
+    with ss.LateRows(spark) as late:
+        kept = ss.run_to_parquet(dd.stream_dedup(stream, ["event_id"], "ts", "2 hours"), "late-kept", on_query=(held := []).append)
+    n = late.of(held[0])
+    return kept.agg(F.count(F.lit(1)).alias("n_kept")).select((F.col("n_kept") + n).alias("n_events"), "n_kept", F.lit(n).cast("long").alias("late_rows"))
 
 
 # --- sinks -------------------------------------------------------------------

@@ -52,6 +52,22 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def reachable(spark: SparkSession, path: str) -> str:
+    """``path``, if tasks that open it themselves find the same files everywhere.
+
+    Off a local master a path without a scheme, or with `file`, is each executor's own disk, unless it
+    lies in the shared folder.
+    """
+    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        return path
+    plain = path.removeprefix("file://")
+    if "://" not in plain:
+        shared = shared_folder(spark)
+        if not plain.startswith(shared.removeprefix("file://").rstrip("/") + "/"):
+            raise ValueError(f"{path} is on each executor's own disk; name a file system that all of them reach")
+    return path
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Store ``df`` reliably, so that positions taken from it survive lost executors."""
     shared_folder(df.sparkSession)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tablewright.operators.scan import Neighbour, Running, scan
 from tablewright.operators.split import head_n
+from tablewright.session import reachable
 
 RECORD = T.StructType(
     [
@@ -117,12 +118,16 @@ def catalog_table(spark: SparkSession, catalog: Sequence[Dataset]) -> DataFrame:
     return spark.createDataFrame(rows, "dataset string, is_eval boolean, weight double")
 
 
+NEAREST = 1000  # names in an error at most
+
+
 def select_dataset(df: DataFrame, name: str, column: str = "dataset") -> DataFrame:
-    """One dataset; an unknown name is an error that lists the known ones."""
+    """One dataset; an unknown name is an error that tells the number of datasets and the nearest names."""
     chosen = df.filter(F.col(column) == name)
     if chosen.select(column).isEmpty():
-        known = sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
-        raise ValueError(f"no rows of dataset {name!r}; there are {known}")
+        names = df.select(column).distinct().filter(F.col(column).isNotNull())
+        near = names.orderBy(F.levenshtein(column, F.lit(name)), column).limit(NEAREST).collect()
+        raise ValueError(f"no rows of dataset {name!r}; of {names.count()} names the nearest are {sorted(r[0] for r in near)}")
     return chosen
 
 
@@ -188,6 +193,7 @@ def read_arrow(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     import pyarrow as pa
     from pyarrow import fs as pafs
 
+    path = reachable(spark, path)
     uri = path if "://" in path else f"file://{path}"
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").load(path).select("path")
     n = max(files.count(), 1)

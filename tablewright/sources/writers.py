@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from tablewright.session import durable, reachable
+
 COMPRESSIONS = {None: "uncompressed", "none": "uncompressed", "snappy": "snappy", "gzip": "gzip", "lz4": "lz4_raw", "zstd": "zstd"}
 
 
@@ -97,6 +99,9 @@ class ArrowFiles(DataSource):
 
 
 def write_arrow(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One Arrow file from each task, under its final name once all have ended. Tasks open the path
+    themselves, so it must be one that all executors reach."""
+    path = reachable(df.sparkSession, path)
     df.sparkSession.dataSource.register(ArrowFiles)
     df.write.format("arrowfiles").mode(mode).save(path)
 
@@ -107,6 +112,8 @@ FORMATS = {"jsonl": write_jsonl, "parquet": write_parquet, "arrow": write_arrow}
 def export(df: DataFrame, path: str, formats: Sequence[str]) -> list[str]:
     """Write every known format below ``path``; returns the names not known."""
     unknown = [f for f in formats if f not in FORMATS]
+    if len(formats) - len(unknown) > 1:
+        df = durable(df)  # each format reads it again
     for f in formats:
         if f in FORMATS:
             FORMATS[f](df, f"{path.rstrip('/')}/{f}")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
+import threading
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tablewright.operators import clean as cl
 from tablewright.operators import templates as tp
@@ -16,6 +19,9 @@ from tablewright.operators.telemetry import Plateau
 from tablewright.session import fresh_folder
 
 
+REPORT_SECONDS = 120
+
+
 def read_stream(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", files_per_trigger: int | None = None,
     name_filter: str | None = None,
@@ -51,6 +57,16 @@ def running_stats(stream: DataFrame, by: Sequence[str], value: str) -> DataFrame
     )
 
 
+def in_order(frames: Iterator[pd.DataFrame], step: str, value: str) -> Iterator[tuple]:
+    """The (step, value) rows of several frames in step order, one at a time; of the frames only these
+    two columns are held."""
+    parts = []
+    for frame in frames:
+        ordered = frame[[step, value]].sort_values(step)
+        parts.append(zip(ordered[step].to_numpy(), ordered[value].to_numpy()))
+    return heapq.merge(*parts, key=lambda row: row[0])
+
+
 def stream_plateau(
     stream: DataFrame, by: Sequence[str], step: str, value: str, patience: int = 3, threshold: float = 0.001
 ) -> DataFrame:
@@ -68,8 +84,7 @@ def stream_plateau(
     def advance(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         best, best_at, seen, stopped = state.get if state.exists else (None, 0, 0, None)
         run, was_stopped = Plateau(best, best_at, stopped), stopped is not None
-        batch = pd.concat(list(frames))[[step, value]].sort_values(step)
-        for v in batch[value]:
+        for _, v in in_order(frames, step, value):
             if pd.notna(v):
                 seen += 1
                 run.see(seen, float(v), patience, threshold)
@@ -94,8 +109,9 @@ def stream_plateau(
     )
 
 
-def run_to_parquet(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    """Drain what is available into parquet files below the shared folder, and read them."""
+def run_to_parquet(stream: DataFrame, label: str, mode: str = "append", on_query: Callable[[object], None] | None = None) -> DataFrame:
+    """Drain what is available into parquet files below the shared folder, and read them. ``on_query``
+    is given the finished query."""
     spark = stream.sparkSession
     out, state = fresh_folder(spark, label), fresh_folder(spark, f"{label}-state")
     query = (
@@ -107,6 +123,8 @@ def run_to_parquet(stream: DataFrame, label: str, mode: str = "append") -> DataF
         .start()
     )
     query.awaitTermination()
+    if on_query is not None:
+        on_query(query)
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -141,10 +159,52 @@ def run_update_to_parquet(stream: DataFrame, label: str, keys: Sequence[str]) ->
     return rows.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
-def late_rows(query) -> int:
-    """Rows a finished query dropped for being behind the watermark."""
-    return sum(
-        int(op.get("numRowsDroppedByWatermark", 0))
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that streams drop for being behind the watermark, batch by batch.
+
+    A finished query keeps its last reports only; a listener gets them all. ::
+
+        with LateRows(spark) as late:
+            query = run_foreach(...)
+        late.of(query)
+
+    An aggregation reports rows as they reach its state, combined by task; a deduplication or a
+    processor of its own reports every row.
+    """
+
+    def __init__(self, spark: SparkSession):
+        super().__init__()
+        self.spark = spark
+        self.dropped: dict[str, int] = {}
+        self.batches: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def __enter__(self) -> LateRows:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        for ended in list(self.ended.values()):  # reports arrive after the queries end
+            ended.wait(REPORT_SECONDS)
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        self.ended[str(event.runId)] = threading.Event()
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.batches[run] = self.batches.get(run, 0) + 1
+        self.dropped[run] = self.dropped.get(run, 0) + sum(int(op.numRowsDroppedByWatermark or 0) for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+    def of(self, query) -> int:
+        """Rows a finished query dropped."""
+        ended = self.ended.get(str(query.runId))
+        if ended is None or not ended.wait(REPORT_SECONDS):
+            raise TimeoutError("the query's last report has not arrived")
+        return self.dropped.get(str(query.runId), 0)

@@ -3,8 +3,10 @@ from __future__ import annotations
 import json
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.operators import telemetry as tm
 from tablewright.plans import catalog
@@ -165,3 +167,83 @@ def test_shuffles(spark, sf):
     assert plan(ov.rouge_n(counts)).count("Exchange") == 1
     pushed = plan(spark.read.parquet(f"{sf}/documents.parquet").filter(F.col("lang") == "en").select("doc_id"))
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in pushed
+
+
+def test_late_rows_of_more_batches_than_a_query_remembers(spark, tmp_path):
+    """110 files, read one at a time in the order of their ages; every row is older than the first file's."""
+    import json
+    import os
+
+    from tablewright.operators import dedup as dd
+    from tablewright.streaming import streams as ss
+
+    for i in range(110):
+        rows = [{"id": 10 * i + k, "ts": f"2024-01-{20 if i == 0 else 1}T00:00:0{k}.000Z"} for k in range(2)]
+        path = tmp_path / f"{i:03}.json"
+        path.write_text("\n".join(map(json.dumps, rows)))
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    held: list = []
+    stream = ss.read_stream(spark, str(tmp_path), T.StructType().add("id", "long").add("ts", "timestamp"), "json", 1)
+    with ss.LateRows(spark) as late:
+        kept = ss.run_to_parquet(dd.stream_dedup(stream, ["id"], "ts", "1 hour"), "many", on_query=held.append)
+    # the first two batches have no watermark yet
+    assert kept.count() == 4 and late.of(held[0]) == 216
+    assert late.batches[str(held[0].runId)] > 100 >= len(held[0].recentProgress)
+
+
+def test_rows_of_several_frames_come_in_order():
+    from tablewright.streaming.streams import in_order
+
+    frames = [pd.DataFrame({"s": [5, 1, 9], "v": [0.5, 0.1, 0.9], "x": 1}), pd.DataFrame({"s": [2, 7], "v": [0.2, None], "x": 1}), pd.DataFrame({"s": [], "v": [], "x": []})]
+    assert [s for s, _ in in_order(iter(frames), "s", "v")] == [1, 2, 5, 7, 9]
+
+
+@pytest.mark.parametrize("hold", [False, True])
+def test_runs_longer_than_a_batch_stop_alike(spark, tmp_path, hold):
+    """Runs over five batches, rows out of order by less than the buffer, which is far smaller than a run."""
+    import os
+
+    from tablewright.streaming import plateau_state as ps
+
+    rng = random.Random(7)
+    runs = {r: [rng.random() * 10 / (1 + i / 40) for i in range(400)] for r in ("a", "b", "c")}
+    rows = [(i + rng.randrange(8), r, i, v) for r, vs in runs.items() for i, v in enumerate(vs)]
+    rows.sort()  # each is overtaken by fewer than eight others of its run
+    if not hold:
+        rows = [x for k in range(5) for x in rows if x[2] // 80 == k]  # batches come one after another
+    for k in range(5):
+        part = rows[k * 240 : (k + 1) * 240]
+        path = tmp_path / f"{k}.json"
+        path.write_text("\n".join(json.dumps({"run": r, "step": i, "value": v}) for _, r, i, v in part))
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    stream = ss.read_stream(spark, str(tmp_path), T.StructType().add("run", "string").add("step", "long").add("value", "double"), "json", 1)
+    with ps.rocksdb_state(spark):
+        got = ss.run_to_parquet(ps.stateful_plateau(stream, ["run"], "step", "value", 20, 0.5, reorder=16, hold=hold), "held").collect()
+    assert {r.run for r in got} == {r for r, vs in runs.items() if stop_of(vs, 20, 0.5)} != set()
+    for r in got:
+        assert (r.best, r.stop_evaluation) == stop_of(runs[r.run], 20, 0.5) and r.late_rows == 0
+
+
+def stop_of(values, patience, threshold):
+    """(best, evaluation) at which a run stops, None if it does not."""
+    best, misses = values[0], 0
+    for i, v in enumerate(values[1:], 2):
+        best, misses = (v, 0) if v < best - threshold else (best, misses + 1)
+        if misses == patience:
+            return best, i
+    return None
+
+
+def test_arrow_paths_must_be_reachable(spark):
+    from types import SimpleNamespace
+
+    from tablewright.session import reachable
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: "file:///shared/x")
+    cluster = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: "file:///shared/x"))
+    for path in ("hdfs://c/out", "s3a://b/out", "file:///shared/x/out", "/shared/x/out"):
+        assert reachable(cluster, path) == path
+    for path in ("/tmp/out", "file:///tmp/out", "/shared/xy"):
+        with pytest.raises(ValueError, match="own disk"):
+            reachable(cluster, path)
+    assert reachable(spark, "/tmp/out") == "/tmp/out"
