@@ -911,3 +911,66 @@ def sample_by_label(spark, sf):
 def row_numbers(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "ts")
     return scan(events, ["user_id"], ["ts", "event_id"], RowNumber("rn")).drop("ts")
+
+
+# --- null groups -------------------------------------------------------------
+
+#: the language with one of them unknown: a group of its own
+UNKNOWN = "CASE WHEN lang = 'fr' THEN NULL ELSE lang END"
+
+
+def _unknown(spark, sf):
+    lang = F.when(F.col("lang") != "fr", F.col("lang"))
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), lang.alias("dataset"))
+
+
+def _numbered(order: str) -> str:
+    return f"""SELECT row_id, dataset, row_number() OVER (PARTITION BY dataset ORDER BY {order}) AS rn, count(*) OVER (PARTITION BY dataset) AS n
+      FROM (SELECT doc_id AS row_id, {UNKNOWN} AS dataset FROM documents)"""
+
+
+BY_KEY = _numbered("md5('42:' || row_id), row_id")
+
+
+@query(
+    "split_stratified_null",
+    f"""SELECT row_id, dataset, CASE WHEN rn <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'train'
+      WHEN rn <= floor(n * CAST(0.9 AS DOUBLE)) THEN 'validation' ELSE 'test' END AS split FROM ({BY_KEY})""",
+)
+def split_stratified_null(spark, sf):
+    return sp.split_stratified(_unknown(spark, sf), "dataset", RATIOS)
+
+
+@query("sample_by_label_null", f"SELECT row_id, dataset FROM ({BY_KEY}) WHERE rn <= 15")
+def sample_by_label_null(spark, sf):
+    return sp.sample_by_label(_unknown(spark, sf), "dataset", 15)
+
+
+@query(
+    "mix_equal_null",
+    f"""WITH numbered AS ({BY_KEY}), wanted AS (
+      SELECT *, CAST(floor(CAST((SELECT count(*) FROM documents) AS DOUBLE) / (SELECT count(*) FROM (SELECT DISTINCT dataset FROM numbered))) AS BIGINT) AS target FROM numbered)
+    SELECT row_id, dataset, unnest(range(1, target // n + CASE WHEN rn <= target % n THEN 2 ELSE 1 END)) AS copy FROM wanted""",
+)
+def mix_equal_null(spark, sf):
+    return mx.mix(_unknown(spark, sf), "equal")
+
+
+@query(
+    "mix_custom_null",
+    f"""WITH weights(dataset, w) AS (VALUES (NULL, 3.0), ('en', 1.0)), numbered AS ({BY_KEY}), wanted AS (
+      SELECT r.*, CAST(floor(500 * CAST(w AS DOUBLE) / 4) AS BIGINT) AS target FROM numbered r JOIN weights x ON x.dataset IS NOT DISTINCT FROM r.dataset)
+    SELECT row_id, dataset, unnest(range(1, target // n + CASE WHEN rn <= target % n THEN 2 ELSE 1 END)) AS copy FROM wanted""",
+)
+def mix_custom_null(spark, sf):
+    return mx.mix(_unknown(spark, sf), "custom", 500, {None: 3.0, "en": 1.0})
+
+
+@query("interleave_null", f"SELECT row_id, dataset, row_number() OVER (ORDER BY rn, dataset NULLS FIRST) - 1 AS position FROM ({_numbered('row_id')})")
+def interleave_null(spark, sf):
+    return mx.interleave(_unknown(spark, sf))
+
+
+@query("head_n_null", f"SELECT row_id, dataset FROM ({_numbered('row_id')}) WHERE rn <= 7")
+def head_n_null(spark, sf):
+    return sp.head_n(_unknown(spark, sf), 7)

@@ -49,11 +49,9 @@ class RunPlateau(StatefulProcessor):
         self.waiting = handle.getListState("waiting", WAITING)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        none = pd.DataFrame(columns=self.names)
         if self.stopped.exists():
             for _ in rows:
                 pass
-            yield none
             return
         best, best_at, seen, last, late = self.state.get() if self.state.exists() else (None, 0, 0, None, 0)
         run, heap = Plateau(best, best_at or 0), [tuple(x) for x in self.waiting.get()] if self.waiting.exists() else []
@@ -88,7 +86,6 @@ class RunPlateau(StatefulProcessor):
             self.waiting.put(heap)
         elif self.waiting.exists():
             self.waiting.clear()
-        yield none
 
     def close(self) -> None:
         pass
