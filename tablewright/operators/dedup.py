@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.sized import lookup, pinned
+from tablewright.session import durable
 
 DEFAULT_SUBSET = ("instruction", "input", "output")
 
@@ -38,7 +39,7 @@ def dedup(df: DataFrame, subset: Sequence[str] = DEFAULT_SUBSET, row_id: str = "
     subset = _present(df, subset)
     if not subset:
         return df
-    keyed = df.select(record_key(subset).alias("_key"), row_id)
+    keyed = durable(df.select(record_key(subset).alias("_key"), row_id))
     repeated = keyed.groupBy("_key").agg(F.min(row_id).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     later = lookup(keyed, repeated, ["_key"], "inner", weight="_n").filter(F.col(row_id) != F.col("_first"))
     return df.join(pinned(later.select(row_id)), row_id, "left_anti")

@@ -1,15 +1,15 @@
 """Running values, neighbours and row numbers over ordered groups of any size.
 
 A plain window sends a whole group to one task. Here a group is cut into *chunks*: a fixed
-sample of (group, order) keys gives bounds, about one for each shuffle partition, and a row's
+sample of (group, order) keys gives bounds, one for each shuffle partition up to ``MAX_CHUNKS``, and a row's
 chunk is the number of bounds up to its key. Windows run inside (group, chunk), for which the
 wide rows are exchanged once. What a chunk inherits from the earlier ones of its group is a
 carry row. Only a group that holds a bound can have several chunks, so the carry rows come
 from the rows of these groups, narrow and aggregated before their shuffle, and are no more
 than two for each bound: that table is broadcast.
 
-The bounds are stored, so a row has the same chunk whenever it is computed again; where they
-lie only settles how even the chunks are. ``df`` is read three times, twice for its key and value
+The bounds are literals of the plan, so a row has the same chunk whenever it is computed again; where
+they lie only settles how even the chunks are. ``df`` is read three times, twice for its key and value
 columns only; store it before if it is dear to compute.
 """
 
@@ -18,14 +18,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
-
-from tablewright.session import durable
+from pyspark.sql import types as T
 
 _OWN = "__scan_"  # no caller's column may start like this
 _KEY, _CHUNK = f"{_OWN}key", f"{_OWN}chunk"
 SAMPLES_PER_CHUNK = 40
+MAX_CHUNKS = 1024
 
 
 @dataclass(frozen=True)
@@ -65,36 +65,44 @@ def _combine(how: str, carried: Column, local: Column) -> Column:
     return F.coalesce(carried + local, carried, local)
 
 
-def bounds_of(df: DataFrame, key: Column, chunks: int) -> DataFrame:
-    """One row: the keys that cut ``df`` into about ``chunks`` even ranges, in order, and grouped into
-    about the square root of their number of runs.
+def bounds_of(df: DataFrame, key: Column, chunks: int) -> list[Column]:
+    """Keys, as struct literals in ascending order, that cut ``df`` into about ``chunks`` even ranges.
 
     The sample is the ``SAMPLES_PER_CHUNK * chunks`` rows with the smallest hashes, kept by each
-    task before they meet.
+    task before they meet; the bounds alone go to the driver. A literal may differ from the key it was
+    taken from in its order part, as where time zones do: it is a bound all the same.
     """
-    rows = max(2, SAMPLES_PER_CHUNK * chunks)
-    sample = df.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(rows)
-    ordered = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    if chunks < 2:
+        return []
+    sample = df.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(SAMPLES_PER_CHUNK * chunks)
     n = F.size("keys")
-    cut = lambda i: F.col("keys")[F.floor(i * n / chunks).cast("int")]
-    inner = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.lit(chunks - 1)), cut)) if chunks > 1 else F.lit(None)
-    kind = f"array<{sample.schema['key'].dataType.simpleString()}>"
-    flat = ordered.select(F.coalesce(F.array_distinct(inner.cast(kind)), F.array().cast(kind)).alias("flat"))
-    run = max(1, round(chunks**0.5))
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("flat") - 1), F.lit(run))
-    return durable(flat.select("flat", F.transform(starts, lambda i: F.slice("flat", i + 1, run)).alias("runs")))
-
-
-def with_chunk(df: DataFrame, key: Column, bounds: DataFrame, name: str) -> DataFrame:
-    """``df`` and how many bounds are not above the key, found in two steps."""
-    box = f"{_OWN}runs"
-    runs = F.col(box)
-    before = F.size(F.filter(runs, lambda r: F.get(r, F.lit(0)) <= key))
-    last = F.get(runs, before - 1)
-    length = F.size(F.get(runs, F.lit(0)))
-    inside = F.size(F.filter(F.coalesce(last, F.slice(F.get(runs, F.lit(0)), 1, 0)), lambda b: b <= key))
-    chunk = F.when(before > 0, (before - 1) * length + inside).otherwise(F.lit(0)).cast("int")
-    return df.withColumn(box, bounds.select("runs").scalar()).withColumn(name, chunk).drop(box)
+    cut = F.transform(F.sequence(F.lit(1), F.lit(chunks - 1)), lambda i: F.col("keys")[F.floor(i * n / chunks).cast("int")])
+    ordered = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    found = ordered.select(F.when(n > 0, F.array_distinct(cut)).alias("cut")).first()["cut"] or []
+    fields = sample.schema["key"].dataType
+
+    def literal(row: Row, kind: T.StructType) -> Column:
+        parts = (literal(row[f.name], f.dataType) if isinstance(f.dataType, T.StructType) and row[f.name] is not None else F.lit(row[f.name]).cast(f.dataType) for f in kind)
+        return F.struct(*[p.alias(f.name) for p, f in zip(parts, kind)])
+
+    return [literal(row, fields) for row in found]
+
+
+def chunk_of(key: Column, bounds: list[Column]) -> Column:
+    """How many bounds are not above the key, by halving: compiled comparisons, as many as the logarithm
+    of the bounds."""
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(key < bounds[middle], between(low, middle)).otherwise(between(middle + 1, high))
+
+    return between(0, len(bounds))
+
+
+def chunk_count(df: DataFrame) -> int:
+    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_CHUNKS)
 
 
 def scan(
@@ -111,9 +119,8 @@ def scan(
     parts = [F.col(g).alias(f"g{i}") for i, g in enumerate(group)]
     parts += [(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)]
     key = F.struct(*parts)
-    chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = bounds_of(df, key, chunks)
-    keyed = with_chunk(df.withColumn(_KEY, key), F.col(_KEY), bounds, _CHUNK)
+    bounds = bounds_of(df, key, chunk_count(df))
+    keyed = df.withColumn(_KEY, key).withColumn(_CHUNK, chunk_of(F.col(_KEY), bounds))
     pos = F.col(_KEY)
 
     inside = Window.partitionBy(*group, _CHUNK).orderBy(pos)
@@ -151,9 +158,13 @@ def scan(
     same = lambda side: [F.col(g).eqNullSafe(side[n]) for g, n in zip(group, names)]
     long = keyed
     if group:
-        held = bounds.select(F.explode("flat").alias("k")).select(*[F.col(f"k.g{i}").alias(n) for i, n in enumerate(names)]).distinct()
-        held = F.broadcast(held)  # fewer rows than bounds
-        long = keyed.join(held, _all(same(held)), "left_semi")
+        if bounds:
+            held = df.sparkSession.range(1).select(F.explode(F.array(*bounds)).alias("k"))
+            held = held.select(*[F.col(f"k.g{i}").alias(n) for i, n in enumerate(names)]).distinct()
+            held = F.broadcast(held)  # fewer rows than bounds
+            long = keyed.join(held, _all(same(held)), "left_semi")
+        else:
+            long = keyed.limit(0)
     carry = (
         long.groupBy(*group, _CHUNK)
         .agg(*per_chunk)

@@ -161,14 +161,14 @@ def ngram_lm_score(
         .groupBy(row_id, *_NAMES["_pair"], *_NAMES["_head"])
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    known = model.select(*_hashes("_pair", "prev", "word"), "n", "n_prev")
-    seen = lookup(own, known, _NAMES["_pair"], weight="n")
+    known = durable(model.select(*pair, "n", "n_prev"))
+    seen = lookup(own, known.select(*_NAMES["_pair"], "n", "n_prev"), _NAMES["_pair"], weight="n")
     met = F.col("n").isNotNull()
     point = F.col("_c") * F.log((F.col("n") + k) / (F.col("n_prev") + k * vocabulary))
     open_ = [F.when(~met, F.col(h)).alias(h) for h in _NAMES["_head"]]
     rows = seen.groupBy(row_id, *open_).agg(F.sum(point).alias("_sum"), F.sum("_c").alias("_n"), F.max(met).alias("_met"))
     rows = durable(rows)
-    heads = model.groupBy(*_hashes("_head", "prev")).agg(F.max("n_prev").alias("n_prev"))
+    heads = known.groupBy(*_NAMES["_head"]).agg(F.max("n_prev").alias("n_prev"))
     new = lookup(rows.filter("NOT _met").drop("_sum"), heads, _NAMES["_head"], weight="n_prev")
     unseen = F.col("_n") * F.log(F.lit(float(k)) / (F.coalesce("n_prev", F.lit(0)) + k * vocabulary))
     both = rows.filter("_met").select(row_id, "_sum", "_n").unionByName(new.select(row_id, unseen.alias("_sum"), "_n"))

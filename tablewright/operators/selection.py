@@ -13,8 +13,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.operators.scan import bounds_of, with_chunk
-from tablewright.operators.sized import lookup, pinned
+from tablewright.operators.scan import bounds_of, chunk_count, chunk_of
+from tablewright.operators.sized import fixed, lookup
 
 #: Spark limits groups in the tasks up to so many rows
 GROUP_LIMIT = 1000
@@ -31,8 +31,7 @@ def values_at(
     """
     rows = df.filter(F.col(value).isNotNull()).select(F.struct(*group, F.lit(0).alias("_all")).alias("_group"), F.col(value).alias("_v"))
     key = F.struct("_group", "_v")
-    chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = with_chunk(rows, key, bounds_of(rows, key, chunks), "_chunk")
+    rows = rows.withColumn("_chunk", chunk_of(key, bounds_of(rows, key, chunk_count(rows))))
 
     whole = Window.partitionBy("_group")
     earlier = whole.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -48,11 +47,12 @@ def values_at(
         .groupBy("_group", "_chunk")
         .agg(F.first("_before").alias("_before"), F.first("_total").alias("_total"), F.first("_n").alias("_n"), F.collect_list("_spot").alias("_spots"))
     )
+    spots = fixed(spots)
     near = lookup(rows, spots.select("_group", "_chunk", "_n"), ["_group", "_chunk"], "inner", weight="_n")
     counted = near.groupBy("_group", "_chunk", "_v").agg(F.count(F.lit(1)).alias("_times"))
     inside = Window.partitionBy("_group", "_chunk").orderBy("_v")
     upto = counted.withColumn("_upto", F.sum("_times").over(inside))
-    found = upto.join(pinned(spots.drop("_n")), ["_group", "_chunk"]).select(
+    found = upto.join(spots.drop("_n"), ["_group", "_chunk"]).select(
         "_group", "_v", "_total", (F.col("_before") + F.col("_upto")).alias("_upto"), "_times", F.explode("_spots").alias("_spot")
     )
     hit = (F.col("_spot.k") < F.col("_upto")) & (F.col("_spot.k") >= F.col("_upto") - F.col("_times"))

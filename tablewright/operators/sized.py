@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.session import durable
+
 MAX_ROWS = 100_000
 MAX_BYTES = 32 << 20
 
@@ -38,6 +40,12 @@ def pinned(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES)
     return F.broadcast(spark.createDataFrame(table, df.schema))
 
 
+def fixed(df: DataFrame) -> DataFrame:
+    """``df`` computed once: as a broadcast relation within the bound, else stored."""
+    side = pinned(df)
+    return durable(df) if side is df else side
+
+
 def lookup(
     df: DataFrame,
     small: DataFrame,
