@@ -15,6 +15,7 @@ columns only; store it before if it is dear to compute.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,8 +23,13 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.session import durable
+
 _OWN = "__scan_"  # no caller's column may start like this
 _KEY, _CHUNK = f"{_OWN}key", f"{_OWN}chunk"
+_SPANS = f"{_OWN}spans"
+_LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
+DIRECTED = re.compile(r" (ASC|DESC) NULLS (FIRST|LAST)'>$")
 SAMPLES_PER_CHUNK = 40
 MAX_CHUNKS = 1024
 
@@ -111,16 +117,21 @@ def scan(
     order: Sequence[str | Column],
     *specs: RowNumber | Running | Neighbour,
 ) -> DataFrame:
-    """``df`` plus one column per spec. ``order``, ascending with nulls first, must be unique inside a
-    group."""
+    """``df`` plus one column per spec. ``order`` must be unique inside a group. It is ascending with nulls
+    first; where one of its columns has a direction of its own, as after ``desc()``, the rows are range
+    partitioned and stored instead, because only Spark's own layout compares such keys."""
     group = list(group)
     if any(c.startswith(_OWN) for c in df.columns):
         raise ValueError(f"column names must not start with {_OWN}")
-    parts = [F.col(g).alias(f"g{i}") for i, g in enumerate(group)]
-    parts += [(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)]
-    key = F.struct(*parts)
-    bounds = bounds_of(df, key, chunk_count(df))
-    keyed = df.withColumn(_KEY, key).withColumn(_CHUNK, chunk_of(F.col(_KEY), bounds))
+    bounds: list[Column] | None = None
+    if any(isinstance(o, Column) and DIRECTED.search(str(o)) for o in order):
+        keyed = _laid_out(df, [*group, *order])
+    else:
+        parts = [F.col(g).alias(f"g{i}") for i, g in enumerate(group)]
+        parts += [(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)]
+        key = F.struct(*parts)
+        bounds = bounds_of(df, key, chunk_count(df))
+        keyed = df.withColumn(_KEY, key).withColumn(_CHUNK, chunk_of(F.col(_KEY), bounds))
     pos = F.col(_KEY)
 
     inside = Window.partitionBy(*group, _CHUNK).orderBy(pos)
@@ -157,7 +168,7 @@ def scan(
     names = [f"{_OWN}group{i}" for i in range(len(group))]
     same = lambda side: [F.col(g).eqNullSafe(side[n]) for g, n in zip(group, names)]
     long = keyed
-    if group:
+    if group and bounds is not None:
         if bounds:
             held = df.sparkSession.range(1).select(F.explode(F.array(*bounds)).alias("k"))
             held = held.select(*[F.col(f"k.g{i}").alias(n) for i, n in enumerate(names)]).distinct()
@@ -170,6 +181,8 @@ def scan(
         .agg(*per_chunk)
         .select(*[F.col(g).alias(n) for g, n in zip(group, names)], F.col(_CHUNK).alias(f"{_OWN}to"), *carried)
     )
+    if bounds is None:
+        carry = carry.withColumn(_SPANS, F.count(F.lit(1)).over(Window.partitionBy(*(names or [F.lit(0)])))).filter(F.col(_SPANS) > 1).drop(_SPANS)
     on = _all([F.col(_CHUNK) == F.col(f"{_OWN}to"), *same(carry)])
     return (
         keyed.select("*", *local)
@@ -178,6 +191,12 @@ def scan(
     )
 
 
+def _laid_out(df: DataFrame, layout: Sequence[str | Column]) -> DataFrame:
+    """``df`` range partitioned and stored, with a row's place as key and its partition as chunk."""
+    laid = df.repartitionByRange(*layout).sortWithinPartitions(*layout).withColumn(_KEY, F.monotonically_increasing_id())
+    return durable(laid.withColumn(_CHUNK, F.shiftright(_KEY, _LOCAL_BITS)))
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     out = conditions[0]
     for c in conditions[1:]:
