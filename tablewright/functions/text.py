@@ -56,6 +56,11 @@ def chars(c: str | Column) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
+def without_space(c: str | Column) -> Column:
+    """A text without white space."""
+    return F.regexp_replace(_col(c), rf"[{SPACE}]+", "")
+
+
 def metric_words(c: str | Column) -> Column:
     """Words with one leading or trailing punctuation mark split off."""
 
