@@ -8,9 +8,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tablewright.functions import batches as ba
+from tablewright.functions import grams as gr
 from tablewright.functions import profiles as lp
+from tablewright.operators import overlap as ov
+from tablewright.operators import scores as sc
 
 
 def plan(df):
@@ -59,3 +63,60 @@ def test_profiles_count_in_batches(spark, monkeypatch):
     assert "Generate" not in plan(scores)  # no row for each trigram
     monkeypatch.setattr(lp, "PROFILE_ROWS", 1)
     assert {(r.row_id, r.lang): r.points for r in lp.profile_scores(df, "text", profiles).collect()} == dict(want)
+
+
+def py_grams(tokens, n):
+    return Counter(tuple(tokens[i : i + n]) for i in range(len(tokens) - n + 1))
+
+
+def test_numbers_and_hashes_tell_ngrams_apart():
+    rng = random.Random(5)
+    lists = [[rng.choice("abc") for _ in range(rng.randrange(8))] for _ in range(60)] + [None, []]
+    array = pa.array([["z"], *lists], pa.list_(pa.string())).slice(1)
+    for kind in (gr.numbered, gr.hashed):
+        for n, rows, codes in kind(array, (1, 2, 4)):
+            marks = [codes] if kind is gr.numbered else codes
+            want = [(i, tuple(t[k : k + n])) for i, t in enumerate(lists) for k in range(len(t or []) - n + 1)]
+            assert rows.tolist() == [i for i, _ in want]
+            for m in marks:
+                names = {}
+                assert all(names.setdefault(g, c) == c for (_, g), c in zip(want, m.tolist(), strict=True))
+                assert len(set(names.values())) == len(names)
+
+
+def test_examples_of_one_key_are_counted_together(spark):
+    rows = [("d", "m", 1, "a b a", ["a b", "b a a"]), ("d", "m", 1, "a c", ["a", None]), (None, "m", None, None, ["x"]), ("d", "m", 2, "", [""])]
+    df = spark.createDataFrame(rows, "dataset string, model string, example_id int, prediction string, references array<string>")
+    stats = ov.order_stats(df, [(ov.each_text(lambda t: F.split(F.coalesce(t, F.lit("")), " ")), (1, 2))])
+    got = {(r.dataset, r.example_id): tuple(r)[3:] for r in stats.collect()}
+    assert len(got) == 3
+    # texts of one side count together, of several references the highest count holds
+    own, first, second = Counter("a b a a c".split()), Counter("a b a".split()), Counter(["b", "a", "a", ""])
+    best = first | second
+    assert got["d", 1][:3] == (sum((own & best).values()), sum(own.values()), sum(best.values()))
+    two = py_grams("a b a".split(), 2) + py_grams("a c".split(), 2)
+    refs = py_grams("a b".split(), 2) | py_grams("b a a".split(), 2)
+    assert got["d", 1][3:] == (sum((two & refs).values()), sum(two.values()), sum(refs.values()))
+    text = plan(ov.chrf(df.withColumn("reference", F.col("references")[0])))
+    assert "_gram" not in text and " gram#" not in text  # no row for each n-gram
+
+
+def test_bigrams_leave_tasks_counted(spark):
+    texts = ["a b a b a b", "b a", None, "x", "a b c"] * 3
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "row_id long, t string")
+    model = sc.ngram_lm_fit(df, "t")
+    want = sum((py_grams((t or "").split(), 2) for t in texts), Counter())
+    assert {(r.prev, r.word): r.n for r in model.collect()} == dict(want)
+    assert "Generate" not in plan(sc._bigrams(df, "t"))
+    v, heads = sc.vocabulary_size(df, "t"), Counter()
+    assert v == 4
+    for (prev, _), n in want.items():
+        heads[prev] += n
+    logs, n = defaultdict(float), Counter()
+    for i, t in enumerate(texts):
+        for (prev, word), c in py_grams((t or "").split(), 2).items():
+            logs[i // 2] += c * math.log((want[prev, word] + 1) / (heads[prev] + v))
+            n[i // 2] += c
+    for r in sc.ngram_lm_score(df, "t", model, v).collect():
+        assert r.n_bigrams == n.pop(r.row_id) and abs(r.perplexity - math.exp(-logs[r.row_id] / r.n_bigrams)) < 1e-9
+    assert not +n
