@@ -100,11 +100,3 @@ def matches(lists: pa.Array, example: np.ndarray, side: np.ndarray, examples: in
         np.maximum.at(wanted, where[~own], count[~own])
         out[n] = tuple(np.bincount(owner, x, examples).astype(np.int64) for x in (np.minimum(predicted, wanted), predicted, wanted))
     return out
-
-
-def pairs(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """Of every two neighbouring tokens the list, the places of both in the dictionary, and this dictionary."""
-    rows, left = _places(sizes_of(lists))
-    tokens = lists.flatten().dictionary_encode()
-    ids, at = tokens.indices.to_numpy(), np.flatnonzero(left >= 2)
-    return rows[at], ids[at], ids[at + 1], tokens.dictionary
