@@ -42,7 +42,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 ROWS = 6
 BANDS = 40
-SIGN_BYTES = 8 << 20
+SIGN_BYTES = 2 << 20
 BLOCK_NODES = 64
 BLOCK_BYTES = 256 << 10
 TABLE_CELLS = 1 << 24
