@@ -11,12 +11,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions import text as tx
+from tablewright.functions.batches import pieces
 from tablewright.operators.scan import RowNumber, Running, scan
 from tablewright.operators.sized import lookup, small_table
 from tablewright.session import durable
 
 #: rows that one window may number
 WINDOW_ROWS = 1_000_000
+#: tokens that a task looks up at once
+PIECE_TOKENS = 1 << 18
 SPECIALS = ("<pad>", "<unk>", "<s>", "</s>")
 PERCENTILES = (0, 25, 50, 75, 90, 95, 99, 100)
 
@@ -65,15 +68,25 @@ def _vocab_lookup(df: DataFrame, table: pa.Table, unknown: int) -> Callable:
         tokens, ids = shared.value
         known = dict(zip(tokens.to_pylist(), ids.to_pylist()))  # hashed once for a task
         for batch in batches:
-            # distinct tokens of a batch are looked up once
-            flat = batch.flatten().dictionary_encode()
-            found = pa.array([known.get(t, unknown) for t in flat.dictionary.to_pylist()], pa.int32())
-            offsets = pc.subtract(batch.offsets, batch.offsets[0])
-            yield pa.ListArray.from_arrays(offsets, found.take(flat.indices))
+            yield from _ids_in_pieces(batch, known, unknown)
+            del batch  # gone before the next one is read
 
     return to_ids
 
 
+def _ids_in_pieces(batch: pa.ListArray, known: dict[str, int], unknown: int) -> Iterator[pa.ListArray]:
+    for piece in pieces(batch, batch.value_lengths().to_numpy(), PIECE_TOKENS):
+        yield _ids_of(piece, known, unknown)
+
+
+def _ids_of(lists: pa.ListArray, known: dict[str, int], unknown: int) -> pa.ListArray:
+    """The ids of token lists; distinct tokens are looked up once."""
+    flat = lists.flatten().dictionary_encode()
+    found = pa.array([known.get(t, unknown) for t in flat.dictionary.to_pylist()], pa.int32())
+    offsets = pc.subtract(lists.offsets, lists.offsets[0])
+    return pa.ListArray.from_arrays(offsets, found.take(flat.indices))
+
+
 def encode(
     df: DataFrame,
     column: str,

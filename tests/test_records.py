@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import weakref
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -242,6 +244,28 @@ def test_encode_routes_agree(spark):
     assert own.input_ids == [3, 3, 3, 2, 3, 3]
 
 
+def test_lookup_holds_little_of_a_batch(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a b")], "row_id long, text string")
+    table = pa.table({"token": ["a", "b"], "token_id": pa.array([4, 5], pa.int32())})
+    monkeypatch.setattr(tk, "PIECE_TOKENS", 6)
+    lists = [["a", "b"], [], ["x"] * 9, ["b", "x", "a"], ["a"]] * 3
+    seen = []
+
+    def batches():
+        for _ in range(2):
+            batch = pa.array([["z"], *lists], pa.list_(pa.string())).slice(1)  # offsets need not start at zero
+            seen.append(weakref.ref(batch))
+            yield batch
+            del batch
+            assert seen[-1]() is None  # a batch is gone before the next one is read
+        yield pa.array([], pa.list_(pa.string()))
+
+    out = [x.to_pylist() for x in tk._vocab_lookup(df, table, 1).func(batches())]
+    assert sum(out, []) == [[{"a": 4, "b": 5}.get(t, 1) for t in x] for x in lists] * 2
+    # a piece is ended by the list that crosses a bound, so a long list is never joined by many
+    assert len(out) > 4 and all(sum(map(len, x)) <= 6 + 9 for x in out)
+
+
 def test_sequences(many_chunks):
     lists = [(1, [1, 1, 1]), (2, [2, 2]), (3, [3] * 5), (4, []), (5, [5] * 11)]
     df = many_chunks.createDataFrame(lists, "row_id long, input_ids array<int>")
