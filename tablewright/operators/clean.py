@@ -44,7 +44,11 @@ def clean(
     custom: Sequence[str] = (),
     drop_nulls: bool = True,
 ) -> DataFrame:
-    """Strip, normalise and remove tags on every string column, then drop nulls."""
+    """Strip, normalise and remove tags on every string column, then drop nulls.
+
+    Only custom steps can make a null of a value. Without them the nulls go first: a filter on cleaned
+    columns would clean them once more for itself.
+    """
     unknown = [n for n in custom if n not in CLEANERS]
     if unknown:
         raise ValueError(f"Unknown cleaners: {unknown}. Available: {sorted(CLEANERS)}")
@@ -57,13 +61,15 @@ def clean(
         steps.append(tx.remove_tags)
     steps += [CLEANERS[n] for n in custom]
     apply = tx.compose(*steps)
+    if drop_nulls and not custom:
+        df = drop_any_null(df)
     cleaned = df.select(
         *[
             apply(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
             for f in df.schema.fields
         ]
     )
-    return drop_any_null(cleaned) if drop_nulls else cleaned
+    return drop_any_null(cleaned) if drop_nulls and custom else cleaned
 
 
 def inject_noise(

@@ -21,6 +21,7 @@ from tablewright.operators import tokens as tk
 from tablewright.operators import validate as va
 from tablewright.operators.scan import Neighbour, RowNumber, Running, scan
 from tablewright.operators.sized import lookup
+from tablewright.plans import catalog
 
 
 def column(spark, values, expr):
@@ -112,6 +113,21 @@ def test_clean(spark):
         cl.clean(df, custom=["nope"])
 
 
+def test_records_are_cleaned_once(spark, tmp_path):
+    df = spark.createDataFrame([(1, "<b>x</b>", "", "y"), (2, None, "", "z"), (3, " ", "", None)], RECORDS)
+    plan = cl.clean(df)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert not any("regexp_replace" in line for line in filters)  # nulls are found without cleaning
+    assert [r.row_id for r in cl.clean(df).collect()] == [1]
+
+    texts = ["Say it twice\n <b>one two</b> one", "no second line", None, "Say it once\nthree four five"]
+    rows = [(i, t, "en", None if i == 3 else "web") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokens = catalog.QUERIES["prepare_tokens"](spark, str(tmp_path))
+    assert [tuple(r) for r in tokens.collect()] == [(0, 10)]
+    assert "<[^>]+>" not in tokens._jdf.queryExecution().optimizedPlan().toString()  # stored after cleaning
+
+
 def test_dedup_keeps_first_and_nulls_are_equal(spark):
     rows = [(3, "a", None, "x"), (1, "a", None, "x"), (2, "a", "", "x"), (4, "1:a", "", "x"), (5, "a", "", "x")]
     df = spark.createDataFrame(rows, RECORDS)
