@@ -27,10 +27,11 @@ Verification. Equal sets are one node before anything else. The nodes under a ke
 with the first of them by their whole sets, and links are connected. Where a key still
 holds several components, its nodes are dealt out in blocks by a hash, and the pairs of
 blocks, as numbers, to tasks: one frequent key is as many tasks as it has pairs of
-blocks. A block holds a parity bit vector for each set; the bits in which two differ are no
-more than the shingles in which the sets differ, so this leaves out no link. The pairs it
-lets pass are verified by whole sets, first the best one for each two components, then, if these
-still are apart, the others. So each two sets that could join two components are compared.
+blocks, while one whose nodes fit a block is compared where they are gathered. A block
+holds a parity bit vector for each set; the bits in which two differ are no more than the
+shingles in which the sets differ, so this leaves out no link. The pairs it lets pass are
+verified by whole sets, first the best one for each two components, then, if these still
+are apart, the others. So each two sets that could join two components are compared.
 
 Defined cases: null and empty texts, and those without words, have the empty set and are
 linked with nothing; their component is their own id. A doc_id names one text and is less
@@ -438,15 +439,20 @@ def across(named: DataFrame, bits: DataFrame, bands: Bands) -> DataFrame:
     counts = stored(counts, "keys")
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = joined_small(held, counts, ["key"]).withColumn("block", block)
-    blocks = stored(dealt.groupBy("key", "block").agg(F.collect_list(F.struct("node", "class", "n", "bits")).alias("sets")), "blocks")
+    sets = F.collect_list(F.struct("node", "class", "n", "bits")).alias("sets")
+    tasks = 4 * shuffle_width(named.sparkSession)  # few bytes but much work: a given number of tasks is not merged
+    # the sets of a key with one block are compared where they meet
+    whole = dealt.filter("blocks = 1").repartition(tasks, "key").groupBy("key").agg(sets)
+    whole = whole.select(F.col("sets").alias("left"), F.slice("sets", 1, 0).alias("right"))
+    blocks = stored(dealt.filter("blocks > 1").groupBy("key", "block").agg(sets), "blocks")
     every = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
-    pairs = counts.select("key", F.explode(every).alias("i"), "blocks").select("key", "i", F.explode(F.sequence("i", F.col("blocks") - 1)).alias("j"))
-    # few bytes but much work: a given number of tasks is not merged
-    pairs = pairs.repartition(4 * shuffle_width(named.sparkSession), "key", "i", "j")
+    pairs = counts.filter("blocks > 1").select("key", F.explode(every).alias("i"), "blocks")
+    pairs = pairs.select("key", "i", F.explode(F.sequence("i", F.col("blocks") - 1)).alias("j"))
+    pairs = pairs.repartition(tasks, "key", "i", "j")
     side = lambda name: blocks.select("key", F.col("block").alias(name), F.col("sets").alias(f"sets_{name}"))
     met = pairs.join(side("i"), ["key", "i"]).join(side("j"), ["key", "j"])
     right = F.when(F.col("i") == F.col("j"), F.array()).otherwise(F.col("sets_j"))
-    met = met.select(F.col("sets_i").alias("left"), right.alias("right"))
+    met = whole.union(met.select(F.col("sets_i").alias("left"), right.alias("right")))
 
     # rows are large: they go to Python in batches by their number, some 100
     @F.udf(returnType="array<struct<a:bigint,b:bigint,first:boolean>>", useArrow=False)

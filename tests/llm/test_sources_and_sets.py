@@ -195,6 +195,31 @@ def test_jaccard_near_the_bound(spark, monkeypatch):
         assert listed(jaccard.components(df), "doc_id", "n_shingles", "component_id") == want
 
 
+def test_jaccard_small_keys_are_compared_in_place(spark, monkeypatch):
+    """Only the sets of keys with several blocks are stored as blocks; pairs are the same."""
+    rng = np.random.default_rng(5)
+    members, sizes = [], {}
+    for key, size in ((1, 3), (2, 8), (3, 60)):
+        sizes[key] = range(1000 * key, 1000 * key + size)
+        members += [(key, 1000 * key - 1, n, n) for n in sizes[key]]
+    base = rng.integers(0, 256, 64, np.uint8)
+    bits = [(n, 60, bytearray(base.tobytes())) for nodes in sizes.values() for n in nodes]
+    named = spark.createDataFrame(members, "key long, centre long, node long, class long")
+    held = spark.createDataFrame(bits, "node long, n long, bits binary")
+    kept, before = {}, jaccard.stored
+
+    def stored(df, label):
+        kept[label] = before(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(jaccard, "stored", stored)
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 1024)
+    monkeypatch.setattr(jaccard, "BLOCK_NODES", 16)
+    found = {(r.a, r.b) for r in jaccard.across(named, held, jaccard.Bands.of()).collect()}
+    assert found == {pair for nodes in sizes.values() for pair in itertools.combinations(nodes, 2)}
+    assert {r.key for r in kept["blocks"].collect()} == {3}
+
+
 def test_jaccard_keys_find_all_linked_sets():
     """Every two linked sets share a key of which one side is a whole subset."""
     rng = np.random.default_rng(8)
