@@ -23,15 +23,16 @@ two such sets both use them.
 Frequent keys. What a batch of texts has several times under one key is dealt out by key once and
 held back otherwise, so that a key that a third of all sets have is few rows of each task.
 
-Verification. Equal sets are one node before anything else. The nodes under a key are compared
-with the first of them by their whole sets, and links are connected. Where a key still
-holds several components, its nodes are dealt out in blocks by a hash, and the pairs of
-blocks, as numbers, to tasks: one frequent key is as many tasks as it has pairs of
-blocks, while one whose nodes fit a block is compared where they are gathered. A block
-holds a parity bit vector for each set; the bits in which two differ are no more than the
-shingles in which the sets differ, so this leaves out no link. The pairs it lets pass are
-verified by whole sets, first the best one for each two components, then, if these still
-are apart, the others. So each two sets that could join two components are compared.
+Verification. Equal sets are one node before anything else. Each set has a parity bit vector,
+made when sets are measured; the bits in which two differ are no more than the shingles in which
+the sets differ, so bits leave out no link. The nodes under a key are compared with the first
+of them, and links are connected. Where a key still holds several components, its nodes are
+dealt out in blocks by a hash, and the pairs of blocks, as numbers, to tasks: one frequent key is
+as many tasks as it has pairs of blocks, while one whose nodes fit a block is compared where they
+are gathered. The pairs that bits let pass are verified by whole sets, first the best one for each
+two components, then, if these still are apart, the others. So each two sets that could join two
+components are compared, and texts are moved for the pairs that bits leave open, not for all nodes
+that meet: the more documents there are, the more of them meet some other by chance.
 
 Defined cases: null and empty texts, and those without words, have the empty set and are
 linked with nothing; their component is their own id. A doc_id names one text and is less
@@ -203,11 +204,11 @@ def both_bands(sets: Sets, bands: Bands) -> list[np.ndarray]:
     return [own, above]
 
 
-MARKS = "doc_id bigint, n bigint, hi bigint, lo bigint, band int, choice int, entries bigint, sketch array<bigint>"
+MARKS = "doc_id bigint, n bigint, hi bigint, lo bigint, bits binary, band int, choice int, entries bigint, sketch array<bigint>"
 
 
 def measured(docs: DataFrame, bands: Bands) -> DataFrame:
-    """A row per document with the size, digest and band of its set; and for each partition
+    """A row per document with the size, digest, bits and band of its set; and for each partition
     rows with the keys of a band under a choice and their sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,13 +233,13 @@ def measured(docs: DataFrame, bands: Bands) -> DataFrame:
                 size = len(sets.size)
                 none = [pa.nulls(size, t) for t in (pa.int32(), pa.int64(), pa.list_(pa.int64()))]
                 own = pa.array(np.maximum(both[0], 0), pa.int32())
-                yield batch_of([piece.column("doc_id"), pa.array(sets.size, pa.int64()), pa.array(hi), pa.array(lo), own, *none])
+                yield batch_of([piece.column("doc_id"), pa.array(sets.size, pa.int64()), pa.array(hi), pa.array(lo), bits_of(sets), own, *none])
         for (k, choice), (n, sums) in seen.items():
-            none = [pa.nulls(1, pa.int64())] * 4
+            none = [*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.binary())]
             yield batch_of([*none, pa.array([k], pa.int32()), pa.array([choice], pa.int32()), pa.array([n]), pa.array([sums], pa.list_(pa.int64()))])
 
     def batch_of(columns: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "hi", "lo", "band", "choice", "entries", "sketch"])
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "hi", "lo", "bits", "band", "choice", "entries", "sketch"])
 
     return docs.select("doc_id", "text").mapInArrow(run, MARKS)
 
@@ -324,6 +325,11 @@ def with_nodes(docs: DataFrame) -> DataFrame:
     return ids.union(docs.filter("doc_id IS NULL").select("doc_id", "text").mapInArrow(run, "node bigint, text string"))
 
 
+def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and text of the stored nodes, the first text where rows of a node have several."""
+    return joined_small(with_nodes(docs), nodes, ["node"]).groupBy("node").agg(F.min("text").alias("text"))
+
+
 def nodes_of(doc_id: pa.Array, sets: Sets) -> np.ndarray:
     lost = (digests(sets)[1].view(U64) >> U64(2)).astype(np.int64) + NAMELESS
     return np.where(doc_id.is_null().to_numpy(zero_copy_only=False), lost, doc_id.fill_null(0).to_numpy())
@@ -334,8 +340,8 @@ def linked(s: np.ndarray, t: np.ndarray, percent: int = PERCENT) -> bool:
     return both > 0 and 100 * both >= percent * (len(s) + len(t) - both)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough; other columns stay."""
+def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b), stored, whose whole sets are similar enough; other columns stay."""
     names = [f.name for f in pairs.schema]
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema)
 
@@ -345,32 +351,51 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
                 both = zip(sets_of(piece.column("text_a")).each(), sets_of(piece.column("text_b")).each(), strict=True)
                 yield piece.select(names).filter(pa.array([linked(s, t, percent) for s, t in both], pa.bool_()))
 
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
+    texts = texts_of(docs, ends)
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(left, "a").join(right, "b").select(*names, "text_a", "text_b").mapInArrow(run, fields)
 
 
+def bits_of(sets: Sets) -> pa.Array:
+    """The parity bits of each set: a power of two of bits, ``BITS_EACH`` for each shingle at least, in
+    which a shingle flips the bit of its hash."""
+    width = np.array([bits_for(n) for n in sets.size.tolist()], np.int64)
+    first = np.cumsum(width) - width
+    at = first[sets.row] + (mix(sets.item) & (width[sets.row] - 1).astype(U64)).astype(np.int64)
+    odd = np.bincount(at, minlength=int(width.sum())) & 1
+    body = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    edge = np.concatenate((first, [width.sum()])) // 8
+    return pa.array([body[edge[i] : edge[i + 1]] for i in range(len(width))], pa.binary())
+
+
 def with_bits(texts: DataFrame) -> DataFrame:
-    """node, n and the parity bits of each set: a power of two of bits, ``BITS_EACH`` for each shingle at
-    least, in which a shingle flips the bit of its hash."""
+    """node, n and the parity bits of each set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch):
                 sets = sets_of(piece.column("text"))
-                width = np.array([bits_for(n) for n in sets.size.tolist()], np.int64)
-                first = np.cumsum(width) - width
-                at = first[sets.row] + (mix(sets.item) & (width[sets.row] - 1).astype(U64)).astype(np.int64)
-                odd = np.bincount(at, minlength=int(width.sum())) & 1
-                body = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
-                edge = np.concatenate((first, [width.sum()])) // 8
-                vectors = [body[edge[i] : edge[i + 1]] for i in range(len(width))]
-                columns = [piece.column("node"), pa.array(sets.size, pa.int64()), pa.array(vectors, pa.binary())]
+                columns = [piece.column("node"), pa.array(sets.size, pa.int64()), bits_of(sets)]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "n", "bits"])
 
     return texts.select("node", "text").mapInArrow(run, "node bigint, n bigint, bits binary")
 
 
+def bits_for_nodes(found: DataFrame, wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, n and bits of the wanted nodes, from the rows of ``measured``."""
+    node = F.coalesce("doc_id", nameless(F.col("lo"))).alias("node")
+    own = joined_small(found.filter("choice IS NULL").select(node, "n", "hi", "lo", "bits"), wanted, ["node"])
+    apart = (F.min("hi") < F.max("hi")) | (F.min("lo") < F.max("lo"))
+    bits = stored(own.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), apart.alias("several")), "bits")
+    one, several = bits.filter("NOT several").drop("several"), bits.filter("several").select("node")
+    if several.isEmpty():
+        return one
+    # rows of one id differ: the first text stands for it, as in verification
+    return stored(one.union(with_bits(texts_of(docs, several))), "bits")
+
+
 def bits_for(n: int) -> int:
     return max(64, 1 << (BITS_EACH * n - 1).bit_length())
 
@@ -487,14 +512,12 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     keys = stored(keyed(single, bands, chosen), "keys")
     members = stored(members_of(keys), "members")
     wanted = stored(members.select("node").distinct(), "nodes")
-    texts = joined_small(with_nodes(single), wanted, ["node"])
-    texts = stored(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
+    bits = bits_for_nodes(found, wanted, docs)
 
     tested = members.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    bits = stored(with_bits(texts), "bits")
     tested = stored(possible(tested, bits, bands), "tested")
     own = same.filter("lost AND first IS NOT NULL").select(nameless(F.col("lo")).alias("a"), F.col("first").alias("b"))
-    links = stored(verified(tested, texts, percent).union(own), "links")
+    links = stored(verified(tested, docs, percent).union(own), "links")
     label = connected(links)
 
     def classed(df: DataFrame, node: str, name: str = "class") -> DataFrame:
@@ -504,10 +527,11 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named_members = classed(members, "node")
     met = stored(across(named_members, bits, bands), "candidates")
     for some in (met.filter("first"), met.filter("NOT first")):
-        if some.isEmpty():
-            continue
         apart = classed(classed(some.select("a", "b"), "a", "of_a"), "b", "of_b").filter("of_a <> of_b").select("a", "b")
-        new = stored(verified(apart, texts, percent), "links")
+        apart = stored(apart, "apart")
+        if apart.isEmpty():
+            continue
+        new = stored(verified(apart, docs, percent), "links")
         if not new.isEmpty():
             label = connected(label.select(F.col("node").alias("a"), F.col("class").alias("b")).union(new))
     label = stored(label, "components")

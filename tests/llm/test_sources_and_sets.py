@@ -220,6 +220,38 @@ def test_jaccard_small_keys_are_compared_in_place(spark, monkeypatch):
     assert {r.key for r in kept["blocks"].collect()} == {3}
 
 
+def test_jaccard_moves_texts_of_open_pairs_only(spark, monkeypatch):
+    """Documents that meet others by a passage they share are told apart by bits, without their texts."""
+    shared = prose(500, 40)
+    rows = [(k, f"{prose(600 + k, 90)} {shared}") for k in range(40)]
+    rows.append((40, rows[0][1].replace(rows[0][1].split()[3], "other", 1)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept, before = collections.defaultdict(list), jaccard.stored
+
+    def stored(df, label):
+        kept[label].append(before(df, label))
+        return kept[label][-1]
+
+    monkeypatch.setattr(jaccard, "stored", stored)
+    found = listed(jaccard.components(df), "doc_id", "n_shingles", "component_id")
+    assert found == sorted(components_by_hand(rows), key=str)
+    assert kept["nodes"][0].count() > 30
+    assert {r.node for t in kept["ends"] for r in t.collect()} == {0, 40}
+    assert not [t.columns for many in kept.values() for t in many if "text" in t.columns]
+
+
+def test_jaccard_bits_are_those_of_the_first_text(spark):
+    one, two = prose(1, 30), prose(2, 60)
+    rows = [(1, max(one, two)), (1, min(one, two)), (2, one), (2, one), (3, two), (None, one), (None, one), (None, two), (None, None), (4, None), (4, two)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    marks = jaccard.measured(df, jaccard.Bands.of())
+    wanted = jaccard.with_nodes(df).filter("node <> 3").select("node").distinct()
+    texts = jaccard.with_nodes(df).groupBy("node").agg(F.min("text").alias("text")).filter("text IS NOT NULL AND node <> 3")
+    found = listed(jaccard.bits_for_nodes(marks, wanted, df).filter("n > 0"), "node", "n", "bits")
+    assert found == listed(jaccard.with_bits(texts), "node", "n", "bits")
+    assert len(found) == 5
+
+
 def test_jaccard_keys_find_all_linked_sets():
     """Every two linked sets share a key of which one side is a whole subset."""
     rng = np.random.default_rng(8)
