@@ -56,18 +56,36 @@ def numbered(lists: pa.Array, orders: Sequence[int]) -> Iterator[tuple[int, np.n
 
 def hashed(lists: pa.Array, orders: Sequence[int]) -> Iterator[tuple[int, np.ndarray, tuple[np.ndarray, np.ndarray]]]:
     """The same with two 64-bit hashes of each n-gram instead of its number."""
-    rows, left = _places(sizes_of(lists))
     tokens = lists.flatten().dictionary_encode()
-    words, ids = tokens.dictionary.to_numpy(zero_copy_only=False), tokens.indices.to_numpy()
-    each = [pd.util.hash_array(words, hash_key=k, categorize=False)[ids] if len(words) else np.zeros(0, np.uint64) for k in _KEYS]
-    sums = [x.copy() for x in each]
+    return hashed_ids(tokens.dictionary, tokens.indices.to_numpy(), sizes_of(lists), orders)
+
+
+def word_hashes(words: pa.Array) -> list[np.ndarray]:
+    texts = words.to_numpy(zero_copy_only=False)
+    return [pd.util.hash_array(texts, hash_key=k, categorize=False) if len(texts) else np.zeros(0, np.uint64) for k in _KEYS]
+
+
+def longer(sums: Sequence[np.ndarray], own: Sequence[np.ndarray]) -> list[np.ndarray]:
+    """The hashes of n-grams that go on by one word each."""
+    found = []
+    for odd, a, b in zip(_ODD, sums, own, strict=True):
+        x = a * odd + b
+        x = (x ^ (x >> np.uint64(30))) * _MIX[0]
+        x = (x ^ (x >> np.uint64(27))) * _MIX[1]
+        found.append(x ^ (x >> np.uint64(31)))
+    return found
+
+
+def hashed_ids(
+    words: pa.Array, ids: np.ndarray, sizes: np.ndarray, orders: Sequence[int]
+) -> Iterator[tuple[int, np.ndarray, tuple[np.ndarray, np.ndarray]]]:
+    """``hashed`` of lists of so many tokens, which are numbers of ``words``."""
+    rows, left = _places(sizes)
+    each = [x[ids] for x in word_hashes(words)]
+    sums = each
     for n in range(1, max(orders, default=0) + 1):
         if n > 1:
-            for i, (odd, own) in enumerate(zip(_ODD, each, strict=True)):
-                x = sums[i][:-1] * odd + own[n - 1 :]
-                x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-                x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-                sums[i] = x ^ (x >> np.uint64(31))
+            sums = longer([x[:-1] for x in sums], [x[n - 1 :] for x in each])
         if n in orders:
             starts = np.flatnonzero(left >= n)
             yield n, rows[starts], tuple(s[starts] for s in sums)

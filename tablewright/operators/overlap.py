@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 from tablewright.functions import grams
 from tablewright.functions import text as tx
 from tablewright.functions.batches import groups_of, pieces
+from tablewright.operators import blocks as bl
 from tablewright.operators.sized import lookup, task_count
+from tablewright.session import durable
 
 KEYS = ("dataset", "model", "example_id")
 GROUP = ("dataset", "model")
@@ -255,22 +257,58 @@ def distinct_n(
 ) -> DataFrame:
     """Unique over total n-grams of each group, or the unique count."""
     by = list(by)
-    texts = df.select(*by, column).repartition(task_count(df))
     if approximate:
+        texts = df.select(*by, column).repartition(task_count(df))
         long = texts.select(*by, F.inline(tx.ngrams_up_to(tx.words(column), max(orders)))).filter(F.col("n").isin(*orders))
         table = long.groupBy(*by, "n").agg(
             F.approx_count_distinct("gram", 0.01).alias("unique_ngrams"), F.count(F.lit(1)).alias("total_ngrams")
         )
     else:
-        counts = hashed_counts(texts.select(*by, F.array(tx.words(column)).alias("_tokens")), by, orders)
-        counts = counts.groupBy(*by, "n", "_h1", "_h2").agg(F.sum("c").alias("_c"))
-        table = counts.groupBy(*by, "n").agg(
-            F.count(F.lit(1)).alias("unique_ngrams"), F.sum("_c").alias("total_ngrams")
-        )
+        table = _counted_ngrams(df, column, by, list(orders))
     value = F.col("unique_ngrams") / F.col("total_ngrams") if normalize else F.col("unique_ngrams").cast("double")
     return table.withColumn("distinct", value)
 
 
+#: fixed: over so many passes block-wise distinct n-grams of four orders take about as much disk as the texts
+PASSES = 6
+
+
+def _counted_ngrams(df: DataFrame, column: str, by: list[str], orders: list[int]) -> DataFrame:
+    """``(by, n, unique_ngrams, total_ngrams)`` for each group and order that has n-grams."""
+    group = T.StructType([*(df.schema[k] for k in by), T.StructField("n", T.IntegerType())])
+    names = group.fieldNames()
+
+    def of_orders(block: bl.Block) -> tuple[pa.RecordBatch, np.ndarray]:
+        """Every group of a block with every order, and the group of each text."""
+        text, first = groups_of(block.keys, by)
+        columns = [block.keys.column(k).take(first) for k in by]
+        keys = [pa.concat_arrays([c] * len(orders)) for c in columns]
+        return pa.RecordBatch.from_arrays([*keys, pa.array(np.repeat(orders, len(first)), pa.int32())], names), text
+
+    def keys_of(block: bl.Block) -> bl.Keyed:
+        keys, text = of_orders(block)
+        each = keys.num_rows // max(len(orders), 1)
+        found = [(text[rows] + each * orders.index(n), *h) for n, rows, h in grams.hashed_ids(block.words, block.ids, block.sizes, orders)]
+        return keys, *(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in bl.rows_of(batches):
+            block = bl.block_of(row)
+            keys, text = of_orders(block)
+            each = keys.num_rows // max(len(orders), 1)
+            n = np.concatenate([np.bincount(text, np.maximum(block.sizes - (k - 1), 0), each) for k in orders])
+            yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(n.astype(np.int64))], [*names, "_total"])
+
+    with bl.Folder(df.sparkSession, "distinct") as folder:
+        held = folder.stored(bl.blocks(df, by, column))
+        passes = min(PASSES, 1 + bl.tokens_of(held) * len(orders) // bl.GATHERED)
+        added = held.mapInArrow(totals, T.StructType([*group, T.StructField("_total", T.LongType())]))
+        parts = [folder.stored(bl.distinct_keys(held, keys_of, group, task_count(df), passes, i)) for i in range(passes)]
+        rows = reduce(DataFrame.unionByName, (p.withColumn("_total", F.lit(0).cast("long")) for p in parts), added.withColumn("_unique", F.lit(0).cast("long")))
+        table = rows.groupBy(*by, "n").agg(F.sum("_unique").alias("unique_ngrams"), F.sum("_total").alias("total_ngrams"))
+        return durable(table.filter("total_ngrams > 0"))
+
+
 def self_bleu(
     df: DataFrame, column: str, row_id: str, by: Sequence[str] = GROUP, max_order: int = 4, smoothing: str = "exp"
 ) -> DataFrame:
