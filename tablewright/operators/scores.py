@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 
 from tablewright.functions import alignment as al
 from tablewright.functions import text as tx
+from tablewright.operators import bigrams as bg
 from tablewright.operators import overlap as ov
+from tablewright.operators.blocks import shuffles_dropped
 from tablewright.operators.sized import lookup, pinned, task_count
 from tablewright.session import durable
 
@@ -115,32 +117,18 @@ def token_chunks(n_tokens: Column, stride: int = 512, max_length: int | None = N
 # --- count-based language model ----------------------------------------------
 
 
-def _bigrams(tokens: Column) -> Column:
-    def neighbours(t: Column) -> Column:
-        found = F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size(t) - 2, F.lit(0))),
-            lambda i: F.struct(F.get(t, i).alias("prev"), F.get(t, i + 1).alias("word")),
-        )
-        return F.filter(found, lambda p: p["word"].isNotNull())
-
-    return tx.let(tokens, neighbours)
-
-
 def ngram_lm_fit(df: DataFrame, column: str) -> DataFrame:
     """Bigram counts with the count of their first word: ``(prev, word, n, n_prev)``.
 
     A model is read several times, so it is stored.
     """
-    texts = df.select(column).repartition(task_count(df))
-    counts = texts.select(F.inline(_bigrams(tx.words(column)))).groupBy("prev", "word").agg(F.count(F.lit(1)).alias("n"))
-    counts = durable(counts)
-    heads = counts.groupBy("prev").agg(F.sum("n").alias("n_prev"), F.count(F.lit(1)).alias("_pairs"))
-    return lookup(counts, heads, ["prev"], "inner", weight="_pairs").select("prev", "word", "n", "n_prev")
+    return bg.counted(df, column)
 
 
 def vocabulary_size(df: DataFrame, column: str) -> int:
     texts = df.select(column).repartition(task_count(df))
-    return texts.select(F.explode(tx.words(column)).alias("t")).distinct().count()
+    with shuffles_dropped(df.sparkSession):
+        return texts.select(F.explode(tx.words(column)).alias("t")).distinct().count()
 
 
 def ngram_lm_score(
@@ -148,41 +136,11 @@ def ngram_lm_score(
 ) -> DataFrame:
     """Perplexity of every text of two or more words under add-k bigrams.
 
-    Pairs travel as 128-bit hashes. A pair of the model brings the count of its first word along, so only
-    pairs that the model lacks are joined with first words, after each text's known pairs have become one row.
+    Pairs travel as 128-bit hashes, each once for a block of texts. A pair that the model lacks still needs
+    the count of its first word, so first words are looked up by themselves.
     """
-    # texts are dealt out by row, and counting their pairs keeps that layout
-    pair = [*_hashes("_pair", "prev", "word"), *_hashes("_head", "prev")]
-    own = (
-        df.select(row_id, column)
-        .repartition(task_count(df), row_id)
-        .select(row_id, F.inline(_bigrams(tx.words(column))))
-        .select(row_id, *pair)
-        .groupBy(row_id, *_NAMES["_pair"], *_NAMES["_head"])
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    known = durable(model.select(*pair, "n", "n_prev"))
-    seen = lookup(own, known.select(*_NAMES["_pair"], "n", "n_prev"), _NAMES["_pair"], weight="n")
-    met = F.col("n").isNotNull()
-    point = F.col("_c") * F.log((F.col("n") + k) / (F.col("n_prev") + k * vocabulary))
-    open_ = [F.when(~met, F.col(h)).alias(h) for h in _NAMES["_head"]]
-    rows = seen.groupBy(row_id, *open_).agg(F.sum(point).alias("_sum"), F.sum("_c").alias("_n"), F.max(met).alias("_met"))
-    rows = durable(rows)
-    heads = known.groupBy(*_NAMES["_head"]).agg(F.max("n_prev").alias("n_prev"))
-    new = lookup(rows.filter("NOT _met").drop("_sum"), heads, _NAMES["_head"], weight="n_prev")
-    unseen = F.col("_n") * F.log(F.lit(float(k)) / (F.coalesce("n_prev", F.lit(0)) + k * vocabulary))
-    both = rows.filter("_met").select(row_id, "_sum", "_n").unionByName(new.select(row_id, unseen.alias("_sum"), "_n"))
-    return both.groupBy(row_id).agg(
-        F.exp(-F.sum("_sum") / F.sum("_n")).alias("perplexity"), F.sum("_n").alias("n_bigrams")
-    )
-
-
-_NAMES = {name: [f"{name}{i}" for i in (0, 1)] for name in ("_pair", "_head")}
-
-
-def _hashes(name: str, *columns: str) -> list[Column]:
-    """Two independent 64-bit hashes of a tuple of texts."""
-    return [F.xxhash64(*columns).alias(f"{name}0"), F.xxhash64(F.lit(1), *reversed(columns)).alias(f"{name}1")]
+    rows = bg.scored(df, column, model, vocabulary, row_id, k)
+    return rows.select(row_id, F.exp(-F.col("_sum") / F.col("_n")).alias("perplexity"), F.col("_n").alias("n_bigrams"))
 
 
 def perplexity_filter(df: DataFrame, scores: DataFrame, limit: float, row_id: str = "row_id") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import random
 import time
@@ -12,8 +13,10 @@ import pyarrow as pa
 import pytest
 
 from tablewright.functions import packed as pk
+from tablewright.operators import bigrams as bg
 from tablewright.operators import blocks as bl
 from tablewright.operators import overlap as ov
+from tablewright.operators import scores as sc
 
 
 def made_rows(n, words=40, seed=5):
@@ -81,3 +84,40 @@ def test_distinct_ngrams_leave_no_shuffle_files(spark):
     df.count()
     assert left_behind(spark, lambda: ov.distinct_n(df, "t", ["lang"]).collect()) < 100_000
     df.unpersist()
+
+
+def scores_by_hand(rows, fitted, k, vocabulary):
+    """row_id -> (perplexity, pairs) from plain counts."""
+    pairs, firsts = Counter(), Counter()
+    for _, _, t in fitted:
+        w = (t or "").split()
+        pairs.update(zip(w, w[1:]))
+        firsts.update(w[:-1])
+    logs = defaultdict(list)
+    for i, _, t in rows:
+        w = (t or "").split()
+        logs[i] += [math.log((pairs[p] + k) / (firsts[p[0]] + k * vocabulary)) for p in zip(w, w[1:])]
+    return pairs, firsts, {i: (math.exp(-sum(x) / len(x)), len(x)) for i, x in logs.items() if x}
+
+
+@pytest.mark.parametrize(("gathered", "hot"), [(50, 3), (1 << 21, 1000)])
+def test_bigrams_of_all_passes(spark, monkeypatch, gathered, hot):
+    monkeypatch.setattr(bl, "GATHERED", gathered)
+    monkeypatch.setattr(bg, "HOT_LEAST", hot)
+    fitted = made_rows(200) + [(0, "x", "the a the a"), (500, None, None), (501, None, "alone")]
+    new = [*fitted, (None, "x", "the unknown w1 a"), (777, "x", "unknown unknown")]
+    schema = "row_id long, lang string, t string"
+    model = sc.ngram_lm_fit(spark.createDataFrame(fitted, schema), "t")
+    pairs, firsts, want = scores_by_hand(new, fitted, 0.5, 43)
+    assert {(r.prev, r.word): (r.n, r.n_prev) for r in model.collect()} == {p: (n, firsts[p[0]]) for p, n in pairs.items()}
+    got = sc.ngram_lm_score(spark.createDataFrame(new, schema), "t", model, 43, k=0.5).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert (r.perplexity, r.n_bigrams) == (pytest.approx(want[r.row_id][0]), want[r.row_id][1])
+
+
+def test_scores_leave_no_shuffle_files(spark):
+    df = spark.createDataFrame(made_rows(20_000, 50_000), "row_id long, lang string, t string").cache()
+    df.count()
+    assert left_behind(spark, lambda: sc.ngram_lm_score(df, "t", sc.ngram_lm_fit(df, "t"), sc.vocabulary_size(df, "t")).collect()) < 100_000
+    df.unpersist()
