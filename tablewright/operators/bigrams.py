@@ -30,18 +30,16 @@ ROWS = 1 << 16
 
 def _pairs(block: bl.Block) -> tuple[np.ndarray, np.ndarray]:
     """The places where pairs begin, and the text of each."""
-    ends = np.cumsum(block.sizes)
     inner = np.ones(len(block.ids), bool)
-    inner[ends - 1] = False
-    at = np.flatnonzero(inner)
-    return at, np.searchsorted(ends, at, "right")
+    inner[np.cumsum(block.sizes) - 1] = False
+    return np.flatnonzero(inner), np.repeat(np.arange(len(block.sizes)), block.sizes - 1)
 
 
 # --- counting ----------------------------------------------------------------
 
 
-def counted(df: DataFrame, column: str) -> DataFrame:
-    """``(prev, word, n, n_prev)``, stored.
+def counted(df: DataFrame, held: DataFrame) -> DataFrame:
+    """``(prev, word, n, n_prev)`` of the blocks ``held`` of ``df``, stored.
 
     Pairs are dealt out by their first word, whose pairs are counted in one task; those of a word
     that begins many pairs by both words, and its sums come from the stored counts.
@@ -55,65 +53,63 @@ def counted(df: DataFrame, column: str) -> DataFrame:
             most = np.flatnonzero(first >= max(HOT_LEAST, len(block.ids) / (2 * parts)))
             yield pa.RecordBatch.from_arrays([block.words.take(pa.array(most))], ["word"])
 
-    with bl.Folder(df.sparkSession, "bigrams") as folder:
-        held = folder.stored(bl.blocks(df, [], column))
-        with bl.shuffles_dropped(df.sparkSession):
-            hot = pa.array([r["word"] for r in held.mapInArrow(frequent, "word string").distinct().collect()], pa.string())
+    with bl.shuffles_dropped(df.sparkSession):
+        hot = pa.array([r["word"] for r in held.mapInArrow(frequent, "word string").distinct().collect()], pa.string())
 
-        def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for row in bl.rows_of(batches):
-                block = bl.block_of(row)
-                at, _ = _pairs(block)
-                size = np.int64(len(block.words))
-                codes, counts = np.unique(block.ids[at] * size + block.ids[at + 1], return_counts=True)
-                prev, word = codes // size, codes % size
-                each = grams.word_hashes(block.words)
-                by_pair = np.flatnonzero(pc.is_in(block.words, hot).to_numpy(zero_copy_only=False)[prev])
-                key = each[0][prev]
-                key[by_pair] = grams.longer([x[prev[by_pair]] for x in each], [x[word[by_pair]] for x in each])[0]
-                part = pk.part_of(key, parts)
-                order = np.argsort(part, kind="stable")
-                prev, word, counts, part = prev[order], word[order], counts[order], part[order]
-                for value, low, high in pk.split_by(part):
-                    runs = pk.split_by(prev[low:high])
-                    firsts = block.words.take(pa.array([x for x, _, _ in runs], pa.int64()))
-                    row = [
-                        pk.packed_words(firsts), pk.packed_numbers(np.array([b - a for _, a, b in runs])),
-                        pk.packed_words(block.words.take(pa.array(word[low:high]))), pk.packed_numbers(counts[low:high]),
-                    ]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([value], pa.int32()), *(pa.array([x], pa.binary()) for x in row)], ["_part", "_prev", "_sizes", "_word", "_n"]
-                    )
-
-        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found = []
-            for row in bl.rows_of(batches):
-                sizes = pk.unpacked_numbers(row["_sizes"])
-                prev = pk.unpacked_words(row["_prev"]).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
-                found.append(pa.table([prev, pk.unpacked_words(row["_word"]), pa.array(pk.unpacked_numbers(row["_n"]))], ["prev", "word", "n"]))
-            if not found:
-                return
-            whole = pa.concat_tables(found).group_by(["prev", "word"]).aggregate([("n", "sum")]).combine_chunks()
-            del found
-            prev = whole["prev"].combine_chunks().dictionary_encode()
-            number, n = prev.indices.to_numpy().astype(np.int64), whole["n_sum"].to_numpy()
-            sums = np.zeros(len(prev.dictionary), np.int64)
-            np.add.at(sums, number, n)
-            part_only = pc.is_in(prev.dictionary, hot).to_numpy(zero_copy_only=False)
-            order = np.argsort(number, kind="stable")
-            for low in range(0, len(order), ROWS):
-                at = order[low : low + ROWS]
-                number_at = number[at]
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in bl.rows_of(batches):
+            block = bl.block_of(row)
+            at, _ = _pairs(block)
+            size = np.int64(len(block.words))
+            codes, counts = np.unique(block.ids[at] * size + block.ids[at + 1], return_counts=True)
+            prev, word = codes // size, codes % size
+            each = grams.word_hashes(block.words)
+            by_pair = np.flatnonzero(pc.is_in(block.words, hot).to_numpy(zero_copy_only=False)[prev])
+            key = each[0][prev]
+            key[by_pair] = grams.longer([x[prev[by_pair]] for x in each], [x[word[by_pair]] for x in each])[0]
+            part = pk.part_of(key, parts)
+            order = np.argsort(part, kind="stable")
+            prev, word, counts, part = prev[order], word[order], counts[order], part[order]
+            for value, low, high in pk.split_by(part):
+                runs = pk.split_by(prev[low:high])
+                firsts = block.words.take(pa.array([x for x, _, _ in runs], pa.int64()))
+                row = [
+                    pk.packed_words(firsts), pk.packed_numbers(np.array([b - a for _, a, b in runs])),
+                    pk.packed_words(block.words.take(pa.array(word[low:high]))), pk.packed_numbers(counts[low:high]),
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        prev.dictionary.take(pa.array(number_at)), whole["word"].combine_chunks().take(pa.array(at)), pa.array(n[at]),
-                        pa.array(sums[number_at], mask=part_only[number_at]),
-                    ],
-                    ["prev", "word", "n", "n_prev"],
+                    [pa.array([value], pa.int32()), *(pa.array([x], pa.binary()) for x in row)], ["_part", "_prev", "_sizes", "_word", "_n"]
                 )
 
-        met = held.mapInArrow(dealt, "_part int, _prev binary, _sizes binary, _word binary, _n binary").repartitionById(parts, "_part")
-        counts = bl.stored(met.mapInArrow(summed, "prev string, word string, n long, n_prev long"), fresh_folder(df.sparkSession, "bigrams"))
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for row in bl.rows_of(batches):
+            sizes = pk.unpacked_numbers(row["_sizes"])
+            prev = pk.unpacked_words(row["_prev"]).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+            found.append(pa.table([prev, pk.unpacked_words(row["_word"]), pa.array(pk.unpacked_numbers(row["_n"]))], ["prev", "word", "n"]))
+        if not found:
+            return
+        whole = pa.concat_tables(found).group_by(["prev", "word"]).aggregate([("n", "sum")]).combine_chunks()
+        del found
+        prev = whole["prev"].combine_chunks().dictionary_encode()
+        number, n = prev.indices.to_numpy().astype(np.int64), whole["n_sum"].to_numpy()
+        sums = np.zeros(len(prev.dictionary), np.int64)
+        np.add.at(sums, number, n)
+        part_only = pc.is_in(prev.dictionary, hot).to_numpy(zero_copy_only=False)
+        order = np.argsort(number, kind="stable")
+        for low in range(0, len(order), ROWS):
+            at = order[low : low + ROWS]
+            number_at = number[at]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    prev.dictionary.take(pa.array(number_at)), whole["word"].combine_chunks().take(pa.array(at)), pa.array(n[at]),
+                    pa.array(sums[number_at], mask=part_only[number_at]),
+                ],
+                ["prev", "word", "n", "n_prev"],
+            )
+
+    met = held.mapInArrow(dealt, "_part int, _prev binary, _sizes binary, _word binary, _n binary").repartitionById(parts, "_part")
+    counts = bl.stored(met.mapInArrow(summed, "prev string, word string, n long, n_prev long"), fresh_folder(df.sparkSession, "bigrams"))
     if not len(hot):
         return counts
     with bl.shuffles_dropped(df.sparkSession):
@@ -134,21 +130,31 @@ def _heads(each: list[np.ndarray]) -> list[np.ndarray]:
     return grams.longer(each, [x[[0] * len(each[0])] for x in grams.word_hashes(pa.array([" "]))])
 
 
+class _Words:
+    """The pairs of a block, and the hashes and passes of its words."""
+
+    def __init__(self, block: bl.Block, passes: int):
+        at, self.text = _pairs(block)
+        self.prev, self.word = block.ids[at], block.ids[at + 1]
+        self.each, self.turn = grams.word_hashes(block.words), _pass_of(block.words, passes)
+
+
 class _Asked:
     """The keys a block looks up in a pass, ordered by their first halves: pairs, and first words alone."""
 
-    def __init__(self, block: bl.Block, turn: np.ndarray, number: int):
-        at, self.text = _pairs(block)
-        mine = turn[block.ids[at]] == number
-        at, self.text = at[mine], self.text[mine]
-        prev, self.prev = np.unique(block.ids[at], return_inverse=True)
-        each = grams.word_hashes(block.words)
-        pairs = grams.longer([x[block.ids[at]] for x in each], [x[block.ids[at + 1]] for x in each])
+    def __init__(self, words: _Words, number: int):
+        mine = np.flatnonzero(words.turn[words.prev] == number)
+        own, follows, self.text = words.prev[mine], words.word[mine], words.text[mine]
+        used = np.zeros(len(words.turn), bool)
+        used[own] = True
+        prev, self.prev = np.flatnonzero(used), (np.cumsum(used) - 1)[own]
+        each = words.each
+        pairs = grams.longer([x[own] for x in each], [x[follows] for x in each])
         h1, h2 = (np.concatenate(x) for x in zip(pairs, _heads([x[prev] for x in each]), strict=True))
         order, new = pk.sorted_keys(h1, h2)
         place = np.empty(len(order), np.int64)
         place[order] = np.cumsum(new) - 1
-        self.pair, self.head = place[: len(at)], place[len(at) :]
+        self.pair, self.head = place[: len(mine)], place[len(mine) :]
         self.h1, self.h2 = h1[order[new]], h2[order[new]]
 
 
@@ -172,7 +178,7 @@ def _answers(held: DataFrame, model: DataFrame, parts: int, passes: int, number:
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in bl.rows_of(batches):
             block = bl.block_of(row)
-            keys = _Asked(block, _pass_of(block.words, passes), number)
+            keys = _Asked(_Words(block, passes), number)
             yield from _sent(keys.h1, keys.h2, block.id, None, parts)
 
     def keyed(found: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,16 +231,17 @@ def _answers(held: DataFrame, model: DataFrame, parts: int, passes: int, number:
     return rows.repartitionById(parts, "_part").mapInArrow(answered, "_block long, _pass int, _part int, _values binary")
 
 
-def scored(df: DataFrame, column: str, model: DataFrame, vocabulary: int, row_id: str, k: float) -> DataFrame:
-    """``(row_id, _sum, _n)``: the sum of the logarithms of each text's pairs and their number, stored."""
+def scored(df: DataFrame, held: DataFrame, model: DataFrame, vocabulary: int, row_id: str, k: float) -> DataFrame:
+    """``(row_id, _sum, _n)``: the sum of the logarithms of each text's pairs and their number, stored. ``held``
+    are the blocks of ``df`` with ``row_id``."""
     parts = task_count(df)
     key = df.schema[row_id]
 
     def points(block: bl.Block, answers: dict[int, list[tuple[int, bytes]]], passes: int) -> pa.RecordBatch:
-        turn, texts = _pass_of(block.words, passes), len(block.sizes)
+        words, texts = _Words(block, passes), len(block.sizes)
         sums, count, met = np.zeros(texts), np.zeros(texts, np.int64), np.zeros(texts, bool)
         for number in range(passes):
-            keys = _Asked(block, turn, number)
+            keys = _Asked(words, number)
             values = [pk.unpacked_numbers(v) for _, v in sorted(answers[number])]
             values = np.concatenate(values) if values else np.zeros(0, np.int64)
             if len(values) != len(keys.h1):
@@ -250,7 +257,6 @@ def scored(df: DataFrame, column: str, model: DataFrame, vocabulary: int, row_id
         return pa.RecordBatch.from_arrays(columns, [row_id, "_sum", "_n"])
 
     with bl.Folder(df.sparkSession, "scores") as folder:
-        held = folder.stored(bl.blocks(df, [row_id], column))
         passes = min(PASSES, 1 + bl.tokens_of(held) // bl.GATHERED)
 
         def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -104,6 +104,26 @@ def blocks(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     return texts.mapInArrow(made, "_n long, _texts binary, _ids binary, _words binary").withColumn("_block", F.monotonically_increasing_id())
 
 
+@contextmanager
+def block_table(df: DataFrame, keys: Sequence[str], column: str, given: DataFrame | None = None) -> Iterator[DataFrame]:
+    """``blocks``, stored for as long as they are read, unless ``given``."""
+    if given is not None:
+        yield given
+        return
+    with Folder(df.sparkSession, "blocks") as folder:
+        yield folder.stored(blocks(df, keys, column))
+
+
+def words_of(held: DataFrame) -> DataFrame:
+    """``word``, once for each block that has it."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            yield pa.RecordBatch.from_arrays([pk.unpacked_words(row["_words"])], ["word"])
+
+    return held.select("_words").mapInArrow(listed, "word string")
+
+
 def block_of(row: dict) -> Block:
     texts = pk.unpacked_rows(row["_texts"])
     sizes = texts.column("_size").to_numpy()

@@ -16,7 +16,7 @@ from tablewright.functions import alignment as al
 from tablewright.functions import text as tx
 from tablewright.operators import bigrams as bg
 from tablewright.operators import overlap as ov
-from tablewright.operators.blocks import shuffles_dropped
+from tablewright.operators.blocks import block_table, shuffles_dropped, words_of
 from tablewright.operators.sized import lookup, pinned, task_count
 from tablewright.session import durable
 
@@ -117,29 +117,32 @@ def token_chunks(n_tokens: Column, stride: int = 512, max_length: int | None = N
 # --- count-based language model ----------------------------------------------
 
 
-def ngram_lm_fit(df: DataFrame, column: str) -> DataFrame:
+def ngram_lm_fit(df: DataFrame, column: str, tokens: DataFrame | None = None) -> DataFrame:
     """Bigram counts with the count of their first word: ``(prev, word, n, n_prev)``.
 
-    A model is read several times, so it is stored.
+    A model is read several times, so it is stored. ``tokens``, here and below, are the texts as ``block_table``
+    stores them; without them they are split into words once more.
     """
-    return bg.counted(df, column)
+    with block_table(df, [], column, tokens) as held:
+        return bg.counted(df, held)
 
 
-def vocabulary_size(df: DataFrame, column: str) -> int:
-    texts = df.select(column).repartition(task_count(df))
-    with shuffles_dropped(df.sparkSession):
-        return texts.select(F.explode(tx.words(column)).alias("t")).distinct().count()
+def vocabulary_size(df: DataFrame, column: str, tokens: DataFrame | None = None) -> int:
+    with block_table(df, [], column, tokens) as held, shuffles_dropped(df.sparkSession):
+        return words_of(held).distinct().count()
 
 
 def ngram_lm_score(
-    df: DataFrame, column: str, model: DataFrame, vocabulary: int, row_id: str = "row_id", k: float = 1.0
+    df: DataFrame, column: str, model: DataFrame, vocabulary: int, row_id: str = "row_id", k: float = 1.0,
+    tokens: DataFrame | None = None,
 ) -> DataFrame:
     """Perplexity of every text of two or more words under add-k bigrams.
 
     Pairs travel as 128-bit hashes, each once for a block of texts. A pair that the model lacks still needs
     the count of its first word, so first words are looked up by themselves.
     """
-    rows = bg.scored(df, column, model, vocabulary, row_id, k)
+    with block_table(df, [row_id], column, tokens) as held:
+        rows = bg.scored(df, held, model, vocabulary, row_id, k)
     return rows.select(row_id, F.exp(-F.col("_sum") / F.col("_n")).alias("perplexity"), F.col("_n").alias("n_bigrams"))
 
 

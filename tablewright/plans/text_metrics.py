@@ -10,6 +10,7 @@ from tablewright.functions import alignment as al
 from tablewright.functions import text as tx
 from tablewright.operators import overlap as ov
 from tablewright.operators import scores as sc
+from tablewright.operators.blocks import block_table
 from tablewright.plans.registry import SQL, query
 from tablewright.plans.views import (
     PREDICTIONS,
@@ -340,7 +341,9 @@ def ngram_lm_fit(spark, sf):
 
 def _lm_scores(spark, sf):
     docs = table(spark, sf, "documents")
-    return sc.ngram_lm_score(docs, "text", sc.ngram_lm_fit(docs, "text"), sc.vocabulary_size(docs, "text"), "doc_id")
+    with block_table(docs, ["doc_id"], "text") as tokens:
+        model, size = sc.ngram_lm_fit(docs, "text", tokens), sc.vocabulary_size(docs, "text", tokens)
+        return sc.ngram_lm_score(docs, "text", model, size, "doc_id", tokens=tokens)
 
 
 @query("ngram_lm_score", f"WITH {LM_SCORES} SELECT * FROM scored", doubles=["perplexity"], digits=4)

@@ -17,6 +17,7 @@ from tablewright.operators import bigrams as bg
 from tablewright.operators import blocks as bl
 from tablewright.operators import overlap as ov
 from tablewright.operators import scores as sc
+from tablewright.plans import catalog
 
 
 def made_rows(n, words=40, seed=5):
@@ -121,3 +122,27 @@ def test_scores_leave_no_shuffle_files(spark):
     df.count()
     assert left_behind(spark, lambda: sc.ngram_lm_score(df, "t", sc.ngram_lm_fit(df, "t"), sc.vocabulary_size(df, "t")).collect()) < 100_000
     df.unpersist()
+
+
+def test_perplexity_filter_keeps_whole_result_without_shuffle_files(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, "wild", " ".join(f"v{rng.randrange(200_000)}" for _ in range(12))) for i in range(8_000)]
+    rows += [(i, "calm", "a b a b a b") for i in range(8_000, 8_050)] + [(9_000, "short", "one"), (9_001, "none", None)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    vocabulary = len({w for _, _, t in rows for w in (t or "").split()})
+    _, _, scores = scores_by_hand(rows, rows, 1, vocabulary)
+    got = []
+    assert left_behind(spark, lambda: got.extend(catalog.QUERIES["perplexity_filter"](spark, str(tmp_path)).collect())) < 100_000
+    want = {(i, s) for i, s, _ in rows if scores.get(i, (0, 0))[0] <= 20_000}
+    assert {(r.doc_id, r.source) for r in got} == want and len(got) == len(want) == 52
+
+
+def test_blocks_given_once_serve_all_steps(spark):
+    rows = made_rows(60)
+    df = spark.createDataFrame(rows, "row_id long, lang string, t string")
+    with bl.block_table(df, ["row_id"], "t") as tokens:
+        size = sc.vocabulary_size(df, "t", tokens)
+        got = sc.ngram_lm_score(df, "t", sc.ngram_lm_fit(df, "t", tokens), size, tokens=tokens)
+    assert size == sc.vocabulary_size(df, "t") == len({w for _, _, t in rows for w in t.split()})
+    _, _, want = scores_by_hand(rows, rows, 1, size)
+    assert {r.row_id: (pytest.approx(r.perplexity), r.n_bigrams) for r in got.collect()} == want
