@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tablewright.functions import grams
 from tablewright.functions import packed as pk
 from tablewright.operators import blocks as bl
-from tablewright.operators.sized import pinned, task_count
+from tablewright.operators.sized import pinned
 from tablewright.session import durable, fresh_folder
 
 #: fixed: pairs that blocks and model send in one of so many passes take about as much disk as the texts
@@ -44,7 +44,7 @@ def counted(df: DataFrame, held: DataFrame) -> DataFrame:
     Pairs are dealt out by their first word, whose pairs are counted in one task; those of a word
     that begins many pairs by both words, and its sums come from the stored counts.
     """
-    parts = task_count(df)
+    parts = bl.parts_of(df, bl.tokens_of(held))
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in bl.rows_of(batches):
@@ -234,7 +234,8 @@ def _answers(held: DataFrame, model: DataFrame, parts: int, passes: int, number:
 def scored(df: DataFrame, held: DataFrame, model: DataFrame, vocabulary: int, row_id: str, k: float) -> DataFrame:
     """``(row_id, _sum, _n)``: the sum of the logarithms of each text's pairs and their number, stored. ``held``
     are the blocks of ``df`` with ``row_id``."""
-    parts = task_count(df)
+    tokens = bl.tokens_of(held)
+    parts = bl.parts_of(df, max(tokens, model.count()))
     key = df.schema[row_id]
 
     def points(block: bl.Block, answers: dict[int, list[tuple[int, bytes]]], passes: int) -> pa.RecordBatch:
@@ -257,7 +258,7 @@ def scored(df: DataFrame, held: DataFrame, model: DataFrame, vocabulary: int, ro
         return pa.RecordBatch.from_arrays(columns, [row_id, "_sum", "_n"])
 
     with bl.Folder(df.sparkSession, "scores") as folder:
-        passes = min(PASSES, 1 + bl.tokens_of(held) // bl.GATHERED)
+        passes = min(PASSES, 1 + tokens // bl.GATHERED)
 
         def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts, answers = {}, defaultdict(lambda: defaultdict(list))

@@ -28,6 +28,8 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: keys that a task gathers before it hands them on, and below which one pass is enough
 GATHERED = 1 << 21
+#: tokens of the texts, or rows of a model, whose keys one task holds at most
+PART = 1 << 22
 
 
 @contextmanager
@@ -141,6 +143,11 @@ def tokens_of(held: DataFrame) -> int:
     return held.agg(F.sum("_n").alias("n")).first()["n"] or 0
 
 
+def parts_of(df: DataFrame, units: int) -> int:
+    """Tasks that hold the keys of so many tokens or rows: as many as there are otherwise, or more."""
+    return max(task_count(df), -(-units // PART))
+
+
 # --- distinct keys of groups -------------------------------------------------
 
 Keyed = tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]

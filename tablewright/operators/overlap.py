@@ -301,9 +301,10 @@ def _counted_ngrams(df: DataFrame, column: str, by: list[str], orders: list[int]
 
     with bl.Folder(df.sparkSession, "distinct") as folder:
         held = folder.stored(bl.blocks(df, by, column))
-        passes = min(PASSES, 1 + bl.tokens_of(held) * len(orders) // bl.GATHERED)
+        tokens = bl.tokens_of(held)
+        passes, tasks = min(PASSES, 1 + tokens * len(orders) // bl.GATHERED), bl.parts_of(df, tokens)
         added = held.mapInArrow(totals, T.StructType([*group, T.StructField("_total", T.LongType())]))
-        parts = [folder.stored(bl.distinct_keys(held, keys_of, group, task_count(df), passes, i)) for i in range(passes)]
+        parts = [folder.stored(bl.distinct_keys(held, keys_of, group, tasks, passes, i)) for i in range(passes)]
         rows = reduce(DataFrame.unionByName, (p.withColumn("_total", F.lit(0).cast("long")) for p in parts), added.withColumn("_unique", F.lit(0).cast("long")))
         table = rows.groupBy(*by, "n").agg(F.sum("_unique").alias("unique_ngrams"), F.sum("_total").alias("total_ngrams"))
         return durable(table.filter("total_ngrams > 0"))

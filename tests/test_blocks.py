@@ -67,6 +67,7 @@ def test_keys_with_equal_halves_are_told_apart():
 @pytest.mark.parametrize("gathered", [50, 1 << 21])
 def test_distinct_ngrams_of_all_passes(spark, monkeypatch, gathered):
     monkeypatch.setattr(bl, "GATHERED", gathered)
+    monkeypatch.setattr(bl, "PART", 8 * gathered)
     rows = made_rows(300) + [(900, "z", None), (901, "z", " "), (902, "only", "a b")]
     df = spark.createDataFrame(rows, "row_id long, lang string, t string")
     want = defaultdict(Counter)
@@ -104,6 +105,7 @@ def scores_by_hand(rows, fitted, k, vocabulary):
 @pytest.mark.parametrize(("gathered", "hot"), [(50, 3), (1 << 21, 1000)])
 def test_bigrams_of_all_passes(spark, monkeypatch, gathered, hot):
     monkeypatch.setattr(bl, "GATHERED", gathered)
+    monkeypatch.setattr(bl, "PART", 8 * gathered)
     monkeypatch.setattr(bg, "HOT_LEAST", hot)
     fitted = made_rows(200) + [(0, "x", "the a the a"), (500, None, None), (501, None, "alone")]
     new = [*fitted, (None, "x", "the unknown w1 a"), (777, "x", "unknown unknown")]
